@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slipway.functions.columns import column
+
 # The fields of a submission and the names its type may have.
 SUBMISSION_DDL = (
     "type string, code string, className string, arguments array<string>, environment map<string,string>, "
@@ -24,16 +26,21 @@ def submission_id(value: Column, source_file: Column) -> Column:
     return F.sha2(F.concat_ws("\n", F.coalesce(source_file, F.lit("")), F.coalesce(value, F.lit(""))), 256)
 
 
-def _has_nested_value(value: Column) -> Column:
-    """True if a field that takes text, or an element of ``arguments`` or ``environment``, is an object or array.
+def _is_nested(value: Column) -> Column:
+    return F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)<")
 
-    The shape text lists fields by name, for example ``OBJECT<arguments: ARRAY<STRING>, code: STRING>``. Once the
-    outer object and the two fields that may nest are taken off, no further nesting may be left.
-    """
-    shape = F.schema_of_variant(F.try_parse_json(value))
-    inner = F.regexp_replace(shape, "^OBJECT<|(?<=<|, )(arguments: ARRAY|environment: OBJECT)<", "")
-    inner = F.regexp_replace(inner, "^(arguments: ARRAY|environment: OBJECT)<", "")
-    return F.coalesce(inner.rlike("(^|[<: ])(OBJECT|ARRAY)<"), F.lit(False))
+
+def _has_nested_value(submission: Column) -> Column:
+    """True if a field that takes text, or an element of ``arguments`` or ``environment``, is an object or array."""
+    found = F.lit(False)
+    for name in SUBMISSION_FIELDS:
+        if name not in ("arguments", "environment"):
+            found |= F.coalesce(_is_nested(F.try_variant_get(submission, f"$.{name}", "variant")), F.lit(False))
+    arguments = F.try_variant_get(submission, "$.arguments", "array<variant>")
+    environment = F.map_values(F.try_variant_get(submission, "$.environment", "map<string,variant>"))
+    for elements in (arguments, environment):
+        found |= F.coalesce(F.exists(elements, _is_nested), F.lit(False))
+    return found
 
 
 def decode_submissions(df: DataFrame, value: str = "value") -> DataFrame:
@@ -54,16 +61,18 @@ def decode_submissions(df: DataFrame, value: str = "value") -> DataFrame:
     record = F.from_json(
         text, f"{SUBMISSION_DDL}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}
     )
-    staged = df.select("*", keys.alias("_keys"), record.alias("_record"))
+    # As a generated row, so that a filter on the outcome is not pushed below the parsing and parses again.
+    parsed = F.struct(keys.alias("_keys"), record.alias("_record"), F.try_parse_json(text).alias("_variant"))
+    staged = df.select("*", F.inline(F.array(parsed)))
     reason = (
         F.when(F.col("_keys").isNull(), "MALFORMED")
         .when(F.array_contains("_keys", "appId"), "NOTEBOOK")
         .when(F.size(F.array_except("_keys", F.array(*map(F.lit, SUBMISSION_FIELDS)))) > 0, "UNKNOWN_FIELD")
-        .when(F.col(f"_record.{_CORRUPT}").isNotNull() | _has_nested_value(text), "BAD_FIELD_TYPE")
+        .when(F.col(f"_record.{_CORRUPT}").isNotNull() | _has_nested_value(F.col("_variant")), "BAD_FIELD_TYPE")
         .when(~F.coalesce(F.col("_record.type").isin(*SUBMISSION_TYPES), F.lit(False)), "UNKNOWN_TYPE")
     )
     return staged.select(
-        *[F.col(f"`{name}`") for name in df.columns],
+        *[column(name) for name in df.columns],
         *[F.col(f"_record.{name}").alias(name) for name in SUBMISSION_FIELDS],
         reason.alias("reason"),
     )

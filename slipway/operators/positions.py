@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slipway.functions.columns import column
 from slipway.session import work_path
 
 _LOW_33_BITS = (1 << 33) - 1
@@ -47,5 +48,5 @@ def with_row_index(df: DataFrame, order_by: Sequence[str | Column], name: str =
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     return table.join(F.broadcast(offsets), "_part").select(
-        *[F.col(f"`{column}`") for column in df.columns], (F.col("_offset") + F.col("_pos")).alias(name)
+        *[column(c) for c in df.columns], (F.col("_offset") + F.col("_pos")).alias(name)
     )

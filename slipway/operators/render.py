@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slipway.functions.columns import column
 from slipway.operators.positions import with_row_index
 
 
@@ -31,9 +32,9 @@ def render_rows(df: DataFrame) -> DataFrame:
     return plain.select(F.to_json(F.array(*[F.col(name).cast("string") for name in plain.columns])).alias("value"))
 
 
-def _json_value(column: Column) -> Column:
+def _json_value(value: Column) -> Column:
     """The JSON text of one value: that of a one-element array without its brackets."""
-    array = F.to_json(F.array(column), {"ignoreNullFields": "false"})
+    array = F.to_json(F.array(value), {"ignoreNullFields": "false"})
     return F.substring(array, F.lit(2), F.length(array) - 2)
 
 
@@ -46,25 +47,30 @@ def render_columns(df: DataFrame, order_by: Sequence[str | Column], chunk_rows:
     if len(set(df.columns)) != len(df.columns):
         raise ValueError("column names must be unique")
     indexed = with_row_index(df, order_by, "_row")
-    # Timestamps are counted in milliseconds since 1970, as data frames on the Python side write them.
-    pairs = []
-    for name, kind in df.dtypes:
-        column = F.col(f"`{name}`")
-        if kind in ("timestamp", "timestamp_ntz", "date"):
-            column = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast(_epoch_type(kind)), column)
-        pairs.append(F.struct(F.lit(name).alias("column"), _json_value(column).alias("json")))
-    entries = indexed.select("_row", F.inline(F.array(*pairs)))
-    pieces = entries.groupBy("column", F.floor(F.col("_row") / chunk_rows).alias("chunk")).agg(
-        F.array_sort(F.collect_list(F.struct("_row", "json"))).alias("entries")
-    )
-    texts = F.transform("entries", lambda e: F.concat(F.lit('"'), e["_row"].cast("string"), F.lit('":'), e["json"]))
-    return pieces.select(
-        "column", "chunk", F.concat(F.lit("{"), F.array_join(texts, ","), F.lit("}")).alias("value")
+    values = [_json_value(_column_value(name, kind)).alias(f"_{i}") for i, (name, kind) in enumerate(df.dtypes)]
+    chunks = (
+        indexed.select("_row", *values)
+        .groupBy(F.expr(f"_row div {int(chunk_rows)}").alias("chunk"))
+        .agg(F.array_sort(F.collect_list(F.struct("_row", *[f"_{i}" for i in range(len(values))]))).alias("rows"))
     )
 
+    def entries(i: int) -> Column:
+        pairs = F.transform("rows", lambda row: F.concat(F.lit('"'), row["_row"], F.lit('":'), row[f"_{i}"]))
+        return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+
+    pieces = [F.struct(F.lit(name).alias("column"), entries(i).alias("value")) for i, name in enumerate(df.columns)]
+    return chunks.select("chunk", F.inline(F.array(*pieces))).select("column", "chunk", "value")
+
 
-def _epoch_type(kind: str) -> str:
-    return "timestamp" if kind == "timestamp" else "timestamp_ntz"
+def _column_value(name: str, kind: str) -> Column:
+    """What column-oriented JSON holds for a value: milliseconds since 1970 for a time, null for what is no number."""
+    value = column(name)
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz") if kind != "timestamp" else F.timestamp_seconds(F.lit(0))
+        return F.timestamp_diff("MILLISECOND", epoch, value)
+    if kind in ("float", "double"):
+        return F.when(F.abs(value) < float("inf"), value)
+    return value
 
 
 def render(df: DataFrame, result_format: str | None) -> DataFrame:

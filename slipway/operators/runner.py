@@ -7,11 +7,14 @@ from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from py4j.java_gateway import is_instance_of
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from slipway.operators.decode import decode_submissions, route_submissions, submission_id, valid_submissions
+from slipway.operators.decode import decode_submissions, route_submissions, submission_id
 from slipway.operators.execute import JobRegistry, run_sql
 from slipway.operators.render import render
 from slipway.operators.sinks import resolve_path, write_result
@@ -21,6 +24,17 @@ from slipway.operators.status import (
 from slipway.session import Setup, open_session, work_path
 
 
+def _describe(error: Exception) -> tuple[str, str]:
+    """The error condition, or the exception's name where it has none, and the message."""
+    if isinstance(error, PySparkException):
+        return error.getCondition() or type(error).__name__, str(error)
+    if isinstance(error, Py4JJavaError):
+        cause = error.java_exception
+        has_condition = is_instance_of(SparkContext._gateway, cause, "org.apache.spark.SparkThrowable")
+        return (cause.getCondition() if has_condition else cause.getClass().getSimpleName()), cause.getMessage()
+    return type(error).__name__, str(error)
+
+
 @dataclass
 class Runner:
     """Where submissions run and where their results go.
@@ -49,37 +63,38 @@ class Runner:
     def status(self, spark: SparkSession) -> DataFrame:
         return status_table(spark, self.status_path)
 
-    def run(self, submissions: DataFrame) -> DataFrame:
+    def run(self, submissions: DataFrame, parent: SparkSession | None = None) -> DataFrame:
         """Run the rows of ``submissions`` (``value``, and ``source_file`` if known) and return the status table.
 
         A submission already in the status table is not run again, so delivery may repeat. Equal texts from one file
         are one submission, and ``deliveries`` counts them. Checking, routing and recording of what cannot run are
         Spark jobs over all rows. Only what can run comes to the driver, where queries have to be started: one
         partition at a time, with ``max_parallel`` submissions under way, so their number is not limited by memory.
+        Their sessions take their settings from ``parent``, by default the session of ``submissions``.
         """
-        spark = submissions.sparkSession
-        pending = spark.read.parquet(self._stage(submissions))
-
-        rejected = pending.filter(F.col("reason").isNotNull()).select(
-            "submission_id", "source_file", "deliveries",
-            F.lit("REJECTED").alias("state"),
-            F.col("reason").alias("error_condition"),
-            F.lit(PARSE_FAILURE).alias("response"),
-        )
-        routed = route_submissions(valid_submissions(pending))
-        unsupported = routed.filter(F.col("route") == "unsupported").select(
-            "submission_id", "source_file", "deliveries", "type",
-            F.lit("UNSUPPORTED").alias("state"),
-            accepted(F.col("type")).alias("response"),
-        )
-        append_status(rejected.unionByName(unsupported, allowMissingColumns=True), self.status_path)
-
-        self._run_all(spark, routed.filter(F.col("route") != "unsupported"))
+        spark = parent or submissions.sparkSession
+        decoded = spark.read.parquet(self._stage(submissions))
+        # First the few that are delivered again, so that the status table is read but not shuffled.
+        known = self.status(spark).join(decoded, "submission_id", "left_semi").select("submission_id")
+        routed = route_submissions(decoded.join(known, "submission_id", "left_anti"))
+
+        is_rejected = F.col("reason").isNotNull()
+        not_run = routed.filter(is_rejected | (F.col("route") == "unsupported"))
+        append_status(
+            not_run.select(
+                "submission_id", "source_file", "deliveries",
+                F.when(~is_rejected, F.col("type")).alias("type"),
+                F.when(is_rejected, "REJECTED").otherwise("UNSUPPORTED").alias("state"),
+                F.col("reason").alias("error_condition"),
+                F.when(is_rejected, PARSE_FAILURE).otherwise(accepted(F.col("type"))).alias("response"),
+            ),
+            self.status_path,
+        )
+        self._run_all(spark, routed.filter(~is_rejected & (F.col("route") != "unsupported")))
         return self.status(spark)
 
     def _stage(self, submissions: DataFrame) -> str:
-        """Write the decoded new submissions to the work folder: later steps read them more than once."""
-        spark = submissions.sparkSession
+        """Write the distinct submissions, decoded, to the work folder: later steps read them more than once."""
         source = F.col("source_file") if "source_file" in submissions.columns else F.lit(None).cast("string")
         unique = (
             submissions.select(F.col("value"), source.alias("source_file"))
@@ -87,9 +102,8 @@ class Runner:
             .agg(F.count("*").alias("deliveries"))
             .withColumn("submission_id", submission_id(F.col("value"), F.col("source_file")))
         )
-        done = self.status(spark).select("submission_id")
-        path = work_path(spark, "submissions")
-        decode_submissions(unique.join(done, "submission_id", "left_anti")).write.parquet(path)
+        path = work_path(submissions.sparkSession, "submissions")
+        decode_submissions(unique).write.parquet(path)
         return path
 
     def _run_all(self, spark: SparkSession, runnable: DataFrame) -> None:
@@ -127,8 +141,8 @@ class Runner:
         try:
             path = self._execute(spark, submission)
         except Exception as error:
-            state, message, response = "FAILED", str(error), SUBMIT_FAILURE
-            condition = (error.getCondition() if isinstance(error, PySparkException) else None) or type(error).__name__
+            state, response = "FAILED", SUBMIT_FAILURE
+            condition, message = _describe(error)
         return (
             submission.submission_id, submission.source_file, submission.type, state, condition, message, response,
             path, submission.resultFormat, submission.deliveries, started, datetime.now(timezone.utc),

@@ -26,7 +26,7 @@ WRITE_OPTIONS: dict[str, dict[str, str]] = {
         **_MICROSECONDS,
     },
     "json": dict(_MICROSECONDS),
-    "xml": {"rowTag": "row", **_MICROSECONDS},
+    "xml": {"rowTag": "row", "nullValue": r"\N", "ignoreSurroundingSpaces": "false", **_MICROSECONDS},
 }
 READ_OPTIONS: dict[str, dict[str, str]] = {
     **WRITE_OPTIONS,
@@ -96,6 +96,7 @@ def write_result(
         folder.swap()
     except Exception:
         folder.discard_staging()
+        folder.restore()
         raise
 
 

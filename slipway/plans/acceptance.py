@@ -246,9 +246,9 @@ ACCEPTANCE: dict[str, Query] = {
            where c_nationkey in (select n_nationkey from nation where n_regionkey = 1)""",
     ),
     "sql_correlated": Query(
-        "customer",
+        "customer orders",
         """select c_custkey from customer c
-           where c_acctbal > (select 1.5 * avg(x.c_acctbal) from customer x where x.c_nationkey = c.c_nationkey)""",
+           where 50 * c.c_acctbal > (select max(o.o_totalprice) from orders o where o.o_custkey = c.c_custkey)""",
     ),
     "sql_cte": Query(
         "orders",

@@ -17,14 +17,14 @@ def open_session(
 ) -> SparkSession:
     """A session with its own temp views and settings on the parent's context.
 
-    The parent's changeable settings are carried over, then ``conf`` is applied. Temp views are not shared between
+    Settings the parent was given since its start are carried over, then ``conf`` is applied. Temp views are not shared between
     sessions, so ``setup`` registers whatever the work in this session needs to see. The catalog, the cache and
     global temp views are shared.
     """
     session = parent.newSession()
-    settings = {key: value for key, value in parent.conf.getAll.items() if session.conf.isModifiable(key)}
-    settings.update(conf or {})
-    for key, value in settings.items():
+    present = session.conf.getAll
+    changed = {key: value for key, value in parent.conf.getAll.items() if present.get(key) != value}
+    for key, value in {**changed, **(conf or {})}.items():
         session.conf.set(key, value)
     if setup is not None:
         setup(session)

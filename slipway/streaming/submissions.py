@@ -24,8 +24,9 @@ def stream_submissions(
     under way runs again, which is safe for a query whose result overwrites a path, but not for DDL or INSERT.
     """
 
+    # A stream's own session runs without adaptive execution; submissions take the settings of ``spark``.
     def run_batch(batch: DataFrame, _batch_id: int) -> None:
-        runner.run(batch)
+        runner.run(batch, spark)
 
     writer = (
         read_submission_stream(spark, path, whole_files, max_files_per_trigger)

@@ -1,0 +1,122 @@
+import pytest
+from pyspark.errors import ArithmeticException, ParseException
+from pyspark.sql import functions as F
+
+from slipway.functions.scalars import (
+    mean_by, register_lines, register_sql_function, register_vectorized, square,
+)
+from slipway.operators.execute import JobRegistry, run_sql
+from slipway.session import open_session, register_views, work_path
+
+
+def test_statement_without_a_table(spark):
+    assert run_sql(spark, "select 1 + 1 as v").first().v == 2
+    assert 0 <= run_sql(spark, "select random() as r").first().r < 1
+
+
+def test_one_statement_at_a_time(spark):
+    with pytest.raises(ParseException):
+        run_sql(spark, "select 1; select 2")
+
+
+def test_script_and_ddl(spark):
+    session = open_session(spark)
+    assert run_sql(session, "begin declare x int = 2; select x * 3 as v; end").first().v == 6
+    assert run_sql(session, "create temporary view one as select 1 as a").columns == []
+    assert run_sql(session, "select * from one").count() == 1
+
+
+def test_recursive_cte(spark):
+    sql = "with recursive t(n) as (select 1 union all select n + 1 from t where n < 10) select n from t"
+    assert [r.n for r in run_sql(spark, sql).collect()] == list(range(1, 11))
+
+
+def test_cross_join_passes_through(spark, folder):
+    session = open_session(spark, setup=lambda s: register_views(s, folder, ["nation", "region"]))
+    assert run_sql(session, "select count(*) as n from nation cross join region").first().n == 125
+
+
+def test_arguments_are_values_not_text(spark, folder):
+    session = open_session(spark, setup=lambda s: register_views(s, folder, ["orders"]))
+    code = "select * from orders where o_orderstatus = ?"
+    assert run_sql(session, code, ["F"]).count() > 0
+    assert run_sql(session, code, ["F' or '1'='1"]).count() == 0
+    assert run_sql(session, "select :a as a", {"a": "x"}).first().a == "x"
+    assert run_sql(session, "select 1 as a", ["not used"]).first().a == 1
+
+
+def test_sessions_do_not_share_views_or_settings(spark):
+    one, two = open_session(spark), open_session(spark, {"spark.sql.ansi.enabled": "false"})
+    one.range(1).createOrReplaceTempView("mine")
+    two.range(5).createOrReplaceTempView("mine")
+    assert (one.table("mine").count(), two.table("mine").count()) == (1, 5)
+    with pytest.raises(ArithmeticException):
+        run_sql(one, "select 1 / 0 as x").collect()
+    assert run_sql(two, "select 1 / 0 as x").first().x is None
+
+
+def test_session_takes_over_settings(spark):
+    parent = open_session(spark, {"spark.sql.shuffle.partitions": "3", "spark.sql.session.timeZone": "Asia/Tokyo"})
+    child = open_session(parent)
+    assert child.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert child.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+
+
+def test_work_path_is_below_the_named_folder(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    path = work_path(spark, "x")
+    assert path != work_path(spark, "x")
+    assert named is None or path.startswith(named)
+
+
+def test_jobs_are_looked_up_and_never_executed_as_text(spark):
+    jobs = JobRegistry()
+
+    @jobs.register("echo")
+    def echo(session, arguments, environment):
+        return session.createDataFrame([(a, environment.get(a)) for a in arguments], "a string, e string")
+
+    assert jobs.run(spark, " echo\n", ["x"], {"x": "1"}).collect() == [("x", "1")]
+    assert jobs.run(spark, "echo").count() == 0
+    for name in ("import os", "", None):
+        with pytest.raises(LookupError):
+            jobs.run(spark, name)
+    with pytest.raises(ValueError):
+        jobs.register("echo")(echo)
+
+
+def test_sql_function_is_inlined(spark):
+    session = open_session(spark)
+    register_sql_function(session, "mysqr", "x double", "double", "x * x")
+    result = run_sql(session, "select mysqr(id) as v from range(4)")
+    assert [r.v for r in result.collect()] == [0.0, 1.0, 4.0, 9.0]
+    assert "mysqr" not in result._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_vectorized_function(spark):
+    session = open_session(spark)
+    register_vectorized(session, "sqr", square, "double")
+    result = run_sql(session, "select sqr(cast(id as double)) as v, sqr(random()) as r from range(4)")
+    rows = result.collect()
+    assert [r.v for r in rows] == [0.0, 1.0, 4.0, 9.0]
+    # The declared type must fit what the function returns: a fraction is no null and no whole number.
+    assert all(r.r is not None and 0 < r.r < 1 for r in rows)
+    assert dict(result.dtypes) == {"v": "double", "r": "double"}
+
+
+def test_mean_by_matches_the_built_in(spark):
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 10 > 0, F.lit("hot")).alias("k"),
+        F.when(F.col("id") % 7 > 0, F.col("id").cast("double")).alias("v"),
+    )
+    expected = {r.k: r.m for r in df.groupBy("k").agg(F.avg("v").alias("m")).collect()}
+    found = {r.k: r["mean"] for r in mean_by(df.repartition(5), "k", "v").collect()}
+    assert found.keys() == expected.keys() == {"hot", None}
+    assert all(abs(found[k] - expected[k]) < 1e-9 for k in found)
+
+
+def test_lines(spark):
+    session = open_session(spark)
+    register_lines(session)
+    rows = run_sql(session, "select t.* from values ('a\n\nb'), (''), (null) v(x), lateral lines(x) t").collect()
+    assert sorted(rows) == [(0, ""), (0, "a"), (1, ""), (2, "b")]

@@ -1,0 +1,51 @@
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__
+from conftest import TABLES
+
+QUERIES = __spark_entry__.queries()
+ORACLES = __spark_entry__.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    from conftest import TESTDATA
+
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"create view {name} as select * from read_parquet('{TESTDATA}/{name}.parquet')")
+    yield connection
+    connection.close()
+
+
+def rows(table, columns):
+    def plain(value):
+        return round(value, 9) if isinstance(value, float) and math.isfinite(value) else value
+
+    values = [[plain(v) for v in table[name].to_pylist()] for name in columns]
+    return sorted(zip(*values, strict=True), key=repr)
+
+
+def test_every_query_has_an_oracle():
+    assert QUERIES.keys() == ORACLES.keys()
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(spark, oracle, folder, name):
+    found = QUERIES[name](spark, folder).toArrow()
+    expected = oracle.sql(ORACLES[name]).to_arrow_table()
+    columns = sorted(found.column_names)
+    assert columns == sorted(expected.column_names)
+    assert {c: str(found.schema.field(c).type) for c in columns} == {
+        c: str(expected.schema.field(c).type) for c in columns
+    }
+    assert rows(found, columns) == rows(expected, columns)
+
+
+def test_entry(spark):
+    result = __spark_entry__.entry(spark)
+    assert result.count() > 0
+    assert result.columns == ["l_returnflag", "l_linestatus", "q", "net", "a", "lo", "hi", "n"]
