@@ -22,10 +22,6 @@ def register_vectorized(
     session.udf.register(name, F.pandas_udf(function, returns))
 
 
-def square(values: pd.Series) -> pd.Series:
-    return values * values
-
-
 def mean_by(df: DataFrame, key: str, value: str) -> DataFrame:
     """Mean of ``value`` per ``key``, with the summing in Python.
 
@@ -43,13 +39,13 @@ def mean_by(df: DataFrame, key: str, value: str) -> DataFrame:
     return partials.groupBy(key).agg((F.sum("sum") / F.sum("count")).alias("mean"))
 
 
-class Lines:
-    """Table function: the lines of a text, numbered from 0."""
-
-    def eval(self, text: str):
-        if text is not None:
-            yield from enumerate(text.split("\n"))
+def register_lines(session: SparkSession, name: str = "lines") -> None:
+    """A table function: the lines of a text, numbered from 0."""
 
+    # Defined here, it is sent to the executors with the query, which then need no copy of this package.
+    class Lines:
+        def eval(self, text: str):
+            if text is not None:
+                yield from enumerate(text.split("\n"))
 
-def register_lines(session: SparkSession, name: str = "lines") -> None:
     session.udtf.register(name, F.udtf(Lines, returnType="i int, line string"))

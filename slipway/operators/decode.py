@@ -26,21 +26,32 @@ def submission_id(value: Column, source_file: Column) -> Column:
     return F.sha2(F.concat_ws("\n", F.coalesce(source_file, F.lit("")), F.coalesce(value, F.lit(""))), 256)
 
 
+_TEXT_FIELDS = tuple(name for name in SUBMISSION_FIELDS if name not in ("arguments", "environment"))
+
+
 def _is_nested(value: Column) -> Column:
-    return F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)<")
+    return F.coalesce(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)<"), F.lit(False))
 
 
-def _has_nested_value(submission: Column) -> Column:
-    """True if a field that takes text, or an element of ``arguments`` or ``environment``, is an object or array."""
-    found = F.lit(False)
-    for name in SUBMISSION_FIELDS:
-        if name not in ("arguments", "environment"):
-            found |= F.coalesce(_is_nested(F.try_variant_get(submission, f"$.{name}", "variant")), F.lit(False))
-    arguments = F.try_variant_get(submission, "$.arguments", "array<variant>")
-    environment = F.map_values(F.try_variant_get(submission, "$.environment", "map<string,variant>"))
-    for elements in (arguments, environment):
-        found |= F.coalesce(F.exists(elements, _is_nested), F.lit(False))
-    return found
+def _has_nested_value(text: Column, record: Column) -> Column:
+    """True if a field that takes text, or an element of ``arguments`` or ``environment``, is an object or array.
+
+    Such a value decodes to its JSON text. So only submissions with a value that begins like one are looked at again.
+    """
+    values = F.concat(
+        F.array(*[record[name] for name in _TEXT_FIELDS]),
+        F.coalesce(record["arguments"], F.array()),
+        F.coalesce(F.map_values(record["environment"]), F.array()),
+    )
+    suspect = F.exists(values, lambda value: F.coalesce(value.rlike(r"^[\[{]"), F.lit(False)))
+
+    whole = F.try_parse_json(text)
+    parts = F.concat(
+        F.array(*[F.try_variant_get(whole, f"$.{name}", "variant") for name in _TEXT_FIELDS]),
+        F.coalesce(F.try_variant_get(whole, "$.arguments", "array<variant>"), F.array()),
+        F.coalesce(F.map_values(F.try_variant_get(whole, "$.environment", "map<string,variant>")), F.array()),
+    )
+    return F.when(suspect, F.exists(parts, _is_nested)).otherwise(F.lit(False))
 
 
 def decode_submissions(df: DataFrame, value: str = "value") -> DataFrame:
@@ -62,13 +73,12 @@ def decode_submissions(df: DataFrame, value: str = "value") -> DataFrame:
         text, f"{SUBMISSION_DDL}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}
     )
     # As a generated row, so that a filter on the outcome is not pushed below the parsing and parses again.
-    parsed = F.struct(keys.alias("_keys"), record.alias("_record"), F.try_parse_json(text).alias("_variant"))
-    staged = df.select("*", F.inline(F.array(parsed)))
+    staged = df.select("*", F.inline(F.array(F.struct(keys.alias("_keys"), record.alias("_record")))))
     reason = (
         F.when(F.col("_keys").isNull(), "MALFORMED")
         .when(F.array_contains("_keys", "appId"), "NOTEBOOK")
         .when(F.size(F.array_except("_keys", F.array(*map(F.lit, SUBMISSION_FIELDS)))) > 0, "UNKNOWN_FIELD")
-        .when(F.col(f"_record.{_CORRUPT}").isNotNull() | _has_nested_value(F.col("_variant")), "BAD_FIELD_TYPE")
+        .when(F.col(f"_record.{_CORRUPT}").isNotNull() | _has_nested_value(text, F.col("_record")), "BAD_FIELD_TYPE")
         .when(~F.coalesce(F.col("_record.type").isin(*SUBMISSION_TYPES), F.lit(False)), "UNKNOWN_TYPE")
     )
     return staged.select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slipway.functions.columns import column
-from slipway.session import work_path
+from slipway.session import partitions_for, work_path
 
 _LOW_33_BITS = (1 << 33) - 1
 
@@ -24,7 +24,8 @@ def sorted_table(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, "sorted")
     (
-        df.orderBy(*order_by)
+        df.repartitionByRange(partitions_for(df), *order_by)
+        .sortWithinPartitions(*order_by)
         .select(
             "*",
             F.spark_partition_id().alias("_part"),

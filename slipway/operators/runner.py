@@ -21,7 +21,7 @@ from slipway.operators.sinks import resolve_path, write_result
 from slipway.operators.status import (
     ACCEPTED_SUFFIX, PARSE_FAILURE, SUBMIT_FAILURE, accepted, append_status, append_status_rows, status_table,
 )
-from slipway.session import Setup, open_session, work_path
+from slipway.session import Setup, open_session, remove, settings_of, size_shuffles, work_path
 
 
 def _describe(error: Exception) -> tuple[str, str]:
@@ -73,7 +73,14 @@ class Runner:
         Their sessions take their settings from ``parent``, by default the session of ``submissions``.
         """
         spark = parent or submissions.sparkSession
-        decoded = spark.read.parquet(self._stage(submissions))
+        staged = self._stage(submissions)
+        try:
+            self._run_staged(spark, spark.read.parquet(staged))
+        finally:
+            remove(spark, staged)
+        return self.status(spark)
+
+    def _run_staged(self, spark: SparkSession, decoded: DataFrame) -> None:
         # First the few that are delivered again, so that the status table is read but not shuffled.
         known = self.status(spark).join(decoded, "submission_id", "left_semi").select("submission_id")
         routed = route_submissions(decoded.join(known, "submission_id", "left_anti"))
@@ -91,7 +98,6 @@ class Runner:
             self.status_path,
         )
         self._run_all(spark, routed.filter(~is_rejected & (F.col("route") != "unsupported")))
-        return self.status(spark)
 
     def _stage(self, submissions: DataFrame) -> str:
         """Write the distinct submissions, decoded, to the work folder: later steps read them more than once."""
@@ -107,6 +113,7 @@ class Runner:
         return path
 
     def _run_all(self, spark: SparkSession, runnable: DataFrame) -> None:
+        settings = {**settings_of(spark), **self.session_conf}
         outcomes: list[tuple] = []
         under_way: set[Future] = set()
 
@@ -122,7 +129,7 @@ class Runner:
         with ThreadPoolExecutor(self.max_parallel) as pool:
             for submission in self._rows(runnable):
                 settle(self.max_parallel - 1)
-                under_way.add(pool.submit(self._run_one, spark, submission))
+                under_way.add(pool.submit(self._run_one, spark, settings, submission))
             settle(0)
         append_status_rows(spark, outcomes, self.status_path)
 
@@ -132,14 +139,14 @@ class Runner:
             "resultFormat", "resultsPath", "inline",
         ).toLocalIterator()
 
-    def _run_one(self, spark: SparkSession, submission: Row) -> tuple:
+    def _run_one(self, spark: SparkSession, settings: Mapping[str, str], submission: Row) -> tuple:
         started = datetime.now(timezone.utc)
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", self.pool)
         spark.sparkContext.setJobDescription(f"submission {submission.submission_id}")
         state, condition, message, path = "OK", None, None, None
         response = submission.type + ACCEPTED_SUFFIX
         try:
-            path = self._execute(spark, submission)
+            path = self._execute(spark, settings, submission)
         except Exception as error:
             state, response = "FAILED", SUBMIT_FAILURE
             condition, message = _describe(error)
@@ -148,16 +155,17 @@ class Runner:
             path, submission.resultFormat, submission.deliveries, started, datetime.now(timezone.utc),
         )
 
-    def _execute(self, spark: SparkSession, submission: Row) -> str:
+    def _execute(self, spark: SparkSession, settings: Mapping[str, str], submission: Row) -> str:
         if submission.inline:
             path = self.inline_path(submission.submission_id)
         else:
             path = resolve_path(spark, self.results_root, submission.resultsPath)
-        session = open_session(spark, self.session_conf, self.setup)
+        session = open_session(spark, setup=self.setup, inherited=settings)
         if submission.route == "sql":
             result = run_sql(session, submission.program, submission.arguments)
         else:
             result = self.jobs.run(session, submission.program, submission.arguments, submission.environment)
+        size_shuffles(result)
         if submission.inline:
             write_result(render(result, submission.resultFormat), path, "text")
         else:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 STATUS_DDL = (
     "submission_id string, source_file string, type string, state string, error_condition string, "
@@ -33,9 +36,10 @@ def append_status(df: DataFrame, path: str) -> None:
 
 
 def append_status_rows(spark: SparkSession, rows: Iterable[tuple], path: str) -> None:
-    rows = list(rows)
-    if rows:
-        append_status(spark.createDataFrame(rows, STATUS_DDL).coalesce(1), path)
+    schema = to_arrow_schema(StructType.fromDDL(STATUS_DDL))
+    records = [dict(zip(schema.names, row, strict=True)) for row in rows]
+    if records:
+        append_status(spark.createDataFrame(pa.Table.from_pylist(records, schema)).coalesce(1), path)
 
 
 def status_table(spark: SparkSession, path: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from slipway.operators.execute import run_sql
 from slipway.operators.positions import sorted_table
-from slipway.session import open_session, register_views
+from slipway.session import open_session, register_views, size_shuffles
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,7 @@ class Query:
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
         session = open_session(spark, self.conf, lambda s: register_views(s, folder, self.tables.split()))
-        return run_sql(session, self.sql, self.args)
+        return size_shuffles(run_sql(session, self.sql, self.args))
 
     @property
     def oracle_sql(self) -> str:
@@ -402,4 +402,4 @@ def sql_join_asof(spark: SparkSession, folder: str) -> DataFrame:
         order = [F.col("user_id"), F.col("ts"), F.col("event_type") == "click", F.col("event_id")]
         sorted_table(timeline, order).createOrReplaceTempView("timeline")
 
-    return run_sql(open_session(spark, setup=setup), ASOF_SQL)
+    return size_shuffles(run_sql(open_session(spark, setup=setup), ASOF_SQL))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slipway.functions.scalars import mean_by, register_lines, register_sql_function, register_vectorized, square
+from slipway.functions.scalars import mean_by, register_lines, register_sql_function, register_vectorized
 from slipway.operators.decode import (
     base64_text, decode_submissions, key_value_map, notebook_requests, route_submissions, valid_submissions,
 )
@@ -17,7 +18,7 @@ from slipway.operators.positions import with_row_index
 from slipway.operators.render import render_columns, render_csv, render_json, render_rows
 from slipway.operators.runner import Runner
 from slipway.operators.sinks import publish_global_view, read_result, write_result
-from slipway.session import open_session, register_views, work_path
+from slipway.session import open_session, register_views, table_views, work_path
 from slipway.sources.submissions import read_submissions
 from slipway.streaming.submissions import stream_submissions as start_stream
 from slipway.streaming.windows import append_closed, tumbling_counts, write_latest
@@ -331,6 +332,9 @@ def udf_sql(spark, folder):
 
 @_query("select event_id, value * value as v from events")
 def udf_pandas(spark, folder):
+    def square(values: pd.Series) -> pd.Series:
+        return values * values
+
     session = _session(spark, folder, "events")
     register_vectorized(session, "sqr", square, "double")
     return run_sql(session, "select event_id, sqr(value) as v from events")
@@ -375,9 +379,7 @@ def _segment_submissions(spark, folder) -> DataFrame:
 
 
 def _runner(spark, folder, *tables) -> Runner:
-    return Runner(
-        work_path(spark, "results"), setup=lambda session: register_views(session, folder, tables), jobs=JOBS
-    )
+    return Runner(work_path(spark, "results"), setup=table_views(spark, folder, tables), jobs=JOBS)
 
 
 def _segment_results(spark, runner) -> DataFrame:

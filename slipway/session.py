@@ -7,24 +7,37 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 Setup = Callable[[SparkSession], None]
 
+# Stored bytes per shuffle partition. Columnar files grow several times over when they are read into rows.
+PARTITION_BYTES = 64 << 20
+MOST_PARTITIONS = 200_000
+
+
+def settings_of(parent: SparkSession) -> dict[str, str]:
+    """The settings that ``parent`` was given since its start."""
+    initial = parent.newSession().conf.getAll
+    return {key: value for key, value in parent.conf.getAll.items() if initial.get(key) != value}
+
 
 def open_session(
-    parent: SparkSession, conf: Mapping[str, str] | None = None, setup: Setup | None = None
+    parent: SparkSession,
+    conf: Mapping[str, str] | None = None,
+    setup: Setup | None = None,
+    inherited: Mapping[str, str] | None = None,
 ) -> SparkSession:
     """A session with its own temp views and settings on the parent's context.
 
-    Settings the parent was given since its start are carried over, then ``conf`` is applied. Temp views are not shared between
-    sessions, so ``setup`` registers whatever the work in this session needs to see. The catalog, the cache and
-    global temp views are shared.
+    It starts from the ``inherited`` settings, by default those of the parent, and then takes ``conf``. Temp views are
+    not shared between sessions, so ``setup`` registers whatever the work in this session needs to see. The catalog,
+    the cache and global temp views are shared.
     """
     session = parent.newSession()
-    present = session.conf.getAll
-    changed = {key: value for key, value in parent.conf.getAll.items() if present.get(key) != value}
-    for key, value in {**changed, **(conf or {})}.items():
+    if inherited is None:
+        inherited = settings_of(parent)
+    for key, value in {**inherited, **(conf or {})}.items():
         session.conf.set(key, value)
     if setup is not None:
         setup(session)
@@ -54,7 +67,43 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/slipway/{label}-{uuid.uuid4().hex}"
 
 
+def partitions_for(df: DataFrame) -> int:
+    """How many shuffle partitions the data that ``df`` reads calls for; never fewer than its session is set to."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(default, min(-(-read // PARTITION_BYTES), MOST_PARTITIONS))
+
+
+def size_shuffles(df: DataFrame) -> DataFrame:
+    """Let the shuffles of ``df`` begin with as many partitions as its input calls for.
+
+    Adaptive execution joins partitions that turn out small, but cannot add any. The setting is its session's, so this
+    is for a session that runs one query.
+    """
+    df.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions_for(df))
+    return df
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is no longer needed."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(location, True)
+
+
 def register_views(session: SparkSession, folder: str, names: Iterable[str]) -> None:
     """Make ``<folder>/<name>.parquet`` readable as the temp view ``<name>``. Nothing is read but the schema."""
     for name in names:
         session.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(name)
+
+
+def table_views(spark: SparkSession, folder: str, names: Iterable[str]) -> Setup:
+    """The same as a setup for many sessions: the schemas are read once, here."""
+    paths = {name: f"{folder}/{name}.parquet" for name in names}
+    schemas = {name: spark.read.parquet(path).schema for name, path in paths.items()}
+
+    def setup(session: SparkSession) -> None:
+        for name, path in paths.items():
+            session.read.schema(schemas[name]).parquet(path).createOrReplaceTempView(name)
+
+    return setup

@@ -1,10 +1,13 @@
+import subprocess
+import sys
+from pathlib import Path
+
+import pandas as pd
 import pytest
 from pyspark.errors import ArithmeticException, ParseException
 from pyspark.sql import functions as F
 
-from slipway.functions.scalars import (
-    mean_by, register_lines, register_sql_function, register_vectorized, square,
-)
+from slipway.functions.scalars import mean_by, register_lines, register_sql_function, register_vectorized
 from slipway.operators.execute import JobRegistry, run_sql
 from slipway.session import open_session, register_views, work_path
 
@@ -94,6 +97,9 @@ def test_sql_function_is_inlined(spark):
 
 
 def test_vectorized_function(spark):
+    def square(values: pd.Series) -> pd.Series:
+        return values * values
+
     session = open_session(spark)
     register_vectorized(session, "sqr", square, "double")
     result = run_sql(session, "select sqr(cast(id as double)) as v, sqr(random()) as r from range(4)")
@@ -120,3 +126,18 @@ def test_lines(spark):
     register_lines(session)
     rows = run_sql(session, "select t.* from values ('a\n\nb'), (''), (null) v(x), lateral lines(x) t").collect()
     assert sorted(rows) == [(0, ""), (0, "a"), (1, ""), (2, "b")]
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path, folder):
+    """Python workers start in a folder from which this package cannot be imported."""
+    root = Path(__file__).resolve().parents[1]
+    program = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+import __spark_entry__
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for name in ("udf_pandas", "udaf_pandas", "udtf_rows"):
+    assert __spark_entry__.queries()[name](spark, {folder!r}).count() > 0
+"""
+    subprocess.run([sys.executable, "-c", program], cwd=tmp_path, check=True, timeout=300)
