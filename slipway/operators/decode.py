@@ -38,12 +38,12 @@ def _has_nested_value(text: Column, record: Column) -> Column:
 
     Such a value decodes to its JSON text. So only submissions with a value that begins like one are looked at again.
     """
-    values = F.concat(
-        F.array(*[record[name] for name in _TEXT_FIELDS]),
-        F.coalesce(record["arguments"], F.array()),
-        F.coalesce(F.map_values(record["environment"]), F.array()),
-    )
-    suspect = F.exists(values, lambda value: F.coalesce(value.rlike(r"^[\[{]"), F.lit(False)))
+    suspect = F.lit(False)
+    for name in _TEXT_FIELDS:
+        begin = F.substring(record[name], 1, 1)
+        suspect |= F.coalesce(begin.isin("[", "{"), F.lit(False))
+    elements = F.concat_ws("\n", F.lit(""), record["arguments"], F.map_values(record["environment"]))
+    suspect |= elements.rlike(r"\n[\[{]")
 
     whole = F.try_parse_json(text)
     parts = F.concat(
@@ -72,12 +72,22 @@ def decode_submissions(df: DataFrame, value: str = "value") -> DataFrame:
     record = F.from_json(
         text, f"{SUBMISSION_DDL}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}
     )
-    # As a generated row, so that a filter on the outcome is not pushed below the parsing and parses again.
-    staged = df.select("*", F.inline(F.array(F.struct(keys.alias("_keys"), record.alias("_record")))))
-    reason = (
+    key_fault = (
         F.when(F.col("_keys").isNull(), "MALFORMED")
         .when(F.array_contains("_keys", "appId"), "NOTEBOOK")
         .when(F.size(F.array_except("_keys", F.array(*map(F.lit, SUBMISSION_FIELDS)))) > 0, "UNKNOWN_FIELD")
+    )
+    # As generated rows, so that a filter on the outcome is not pushed below the parsing and parses again. The record
+    # is parsed only where the keys are in order: failing to parse takes far longer than parsing.
+    staged = df.select("*", F.inline(F.array(F.struct(keys.alias("_keys")))))
+    staged = staged.select(
+        "*",
+        F.inline(
+            F.array(F.struct(key_fault.alias("_fault"), F.when(key_fault.isNull(), record).alias("_record")))
+        ),
+    )
+    reason = (
+        F.when(F.col("_fault").isNotNull(), F.col("_fault"))
         .when(F.col(f"_record.{_CORRUPT}").isNotNull() | _has_nested_value(text, F.col("_record")), "BAD_FIELD_TYPE")
         .when(~F.coalesce(F.col("_record.type").isin(*SUBMISSION_TYPES), F.lit(False)), "UNKNOWN_TYPE")
     )

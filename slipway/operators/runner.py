@@ -24,6 +24,10 @@ from slipway.operators.status import (
 from slipway.session import Setup, open_session, remove, settings_of, size_shuffles, work_path
 
 
+# Stored bytes per partition of the staged submissions: what the driver holds of them at a time.
+_STAGED_BYTES = 16 << 20
+
+
 def _describe(error: Exception) -> tuple[str, str]:
     """The error condition, or the exception's name where it has none, and the message."""
     if isinstance(error, PySparkException):
@@ -73,14 +77,16 @@ class Runner:
         Their sessions take their settings from ``parent``, by default the session of ``submissions``.
         """
         spark = parent or submissions.sparkSession
+        settings = {**settings_of(spark), **self.session_conf}
         staged = self._stage(submissions)
+        reader = open_session(spark, {"spark.sql.files.maxPartitionBytes": str(_STAGED_BYTES)})
         try:
-            self._run_staged(spark, spark.read.parquet(staged))
+            self._run_staged(spark, reader.read.parquet(staged), settings)
         finally:
             remove(spark, staged)
         return self.status(spark)
 
-    def _run_staged(self, spark: SparkSession, decoded: DataFrame) -> None:
+    def _run_staged(self, spark: SparkSession, decoded: DataFrame, settings: Mapping[str, str]) -> None:
         # First the few that are delivered again, so that the status table is read but not shuffled.
         known = self.status(spark).join(decoded, "submission_id", "left_semi").select("submission_id")
         routed = route_submissions(decoded.join(known, "submission_id", "left_anti"))
@@ -97,7 +103,7 @@ class Runner:
             ),
             self.status_path,
         )
-        self._run_all(spark, routed.filter(~is_rejected & (F.col("route") != "unsupported")))
+        self._run_all(spark, routed.filter(~is_rejected & (F.col("route") != "unsupported")), settings)
 
     def _stage(self, submissions: DataFrame) -> str:
         """Write the distinct submissions, decoded, to the work folder: later steps read them more than once."""
@@ -109,11 +115,10 @@ class Runner:
             .withColumn("submission_id", submission_id(F.col("value"), F.col("source_file")))
         )
         path = work_path(submissions.sparkSession, "submissions")
-        decode_submissions(unique).write.parquet(path)
+        decode_submissions(unique).write.option("parquet.block.size", _STAGED_BYTES).parquet(path)
         return path
 
-    def _run_all(self, spark: SparkSession, runnable: DataFrame) -> None:
-        settings = {**settings_of(spark), **self.session_conf}
+    def _run_all(self, spark: SparkSession, runnable: DataFrame, settings: Mapping[str, str]) -> None:
         outcomes: list[tuple] = []
         under_way: set[Future] = set()
 

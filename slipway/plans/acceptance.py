@@ -154,9 +154,9 @@ ACCEPTANCE: dict[str, Query] = {
         "orders",
         """select * from (select o_orderstatus, o_orderpriority, o_totalprice from orders)
            pivot(count(o_totalprice) for o_orderstatus in ('F' as f, 'O' as o, 'P' as p))""",
-        oracle="""select o_orderpriority, count(*) filter (where o_orderstatus = 'F') as f,
-                         count(*) filter (where o_orderstatus = 'O') as o,
-                         count(*) filter (where o_orderstatus = 'P') as p
+        oracle="""select o_orderpriority, count(o_totalprice) filter (where o_orderstatus = 'F') as f,
+                         count(o_totalprice) filter (where o_orderstatus = 'O') as o,
+                         count(o_totalprice) filter (where o_orderstatus = 'P') as p
                   from orders group by 1""",
     ),
     "sql_approx_distinct": Query(
@@ -255,6 +255,20 @@ ACCEPTANCE: dict[str, Query] = {
         """with t as (select o_custkey, sum(o_totalprice) as s from orders group by o_custkey)
            select count(*) as n from t where s > (select avg(s) from t)""",
     ),
+    "sql_no_relation": Query(
+        "lineitem",
+        """select l_linenumber * (select 1 + 1 as v) as twice, count(*) as n
+           from lineitem group by l_linenumber""",
+    ),
+    "sql_recursive": Query(
+        "orders",
+        """with recursive per_year as (select year(o_orderdate) as oy, count(*) as n from orders group by 1),
+                years(y, last_year) as (
+             select min(oy) - 1, max(oy) + 1 from per_year
+             union all
+             select y + 1, last_year from years where y < last_year)
+           select cast(y as int) as y, coalesce(n, 0) as n from years left join per_year on y = oy""",
+    ),
     # Functions
     "sql_string": Query(
         "customer",

@@ -17,7 +17,7 @@ from slipway.operators.execute import JobRegistry, run_sql
 from slipway.operators.positions import with_row_index
 from slipway.operators.render import render_columns, render_csv, render_json, render_rows
 from slipway.operators.runner import Runner
-from slipway.operators.sinks import publish_global_view, read_result, write_result
+from slipway.operators.sinks import literal_rows, publish_global_view, read_result, write_result
 from slipway.session import open_session, register_views, table_views, work_path
 from slipway.sources.submissions import read_submissions
 from slipway.streaming.submissions import stream_submissions as start_stream
@@ -171,6 +171,24 @@ def kv_map(spark, folder):
 # Sources, sessions, execution
 
 
+@_query(
+    """select label, count(*) as n, cast(sum(weight) as bigint) as weight
+       from events join (values ('click', 1, 'low'), ('view', 0, 'low'), ('purchase', 10, 'high'),
+                                ('signup', 5, 'high')) l(kind, weight, label) on event_type = kind
+       group by label"""
+)
+def inline_ddl_table(spark, folder):
+    """Rows at hand with a declared schema, joined to a table."""
+    labels = literal_rows(
+        spark,
+        [("click", 1, "low"), ("view", 0, "low"), ("purchase", 10, "high"), ("signup", 5, "high")],
+        "kind string, weight int, label string",
+    )
+    counts = _table(spark, folder, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+    joined = counts.join(labels, counts["event_type"] == labels["kind"])
+    return joined.groupBy("label").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("weight")).alias("weight"))
+
+
 @_query("select c_mktsegment, count(*) as n, round(sum(c_acctbal), 2) as s from customer group by 1")
 def catalog_table(spark, folder):
     path = work_path(spark, "catalog")

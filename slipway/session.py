@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 Setup = Callable[[SparkSession], None]
 
-# Stored bytes per shuffle partition. Columnar files grow several times over when they are read into rows.
-PARTITION_BYTES = 64 << 20
-MOST_PARTITIONS = 200_000
+# Stored input bytes per shuffle partition. Beyond the largest number the blocks between all map and reduce tasks cost
+# more than larger partitions do: those spill, and 100 TB still come to 5 GB each.
+PARTITION_BYTES = 128 << 20
+MOST_PARTITIONS = 20_000
+# Spark takes a size it does not know for the largest number there is.
+UNKNOWN_BYTES = 1 << 60
 
 
 def settings_of(parent: SparkSession) -> dict[str, str]:
@@ -68,9 +71,13 @@ def work_path(spark: SparkSession, label: str) -> str:
 
 
 def partitions_for(df: DataFrame) -> int:
-    """How many shuffle partitions the data that ``df`` reads calls for; never fewer than its session is set to."""
+    """How many shuffle partitions the data that ``df`` reads calls for; never fewer than its session is set to.
+
+    Sources whose size Spark does not know, such as rows from the driver, do not count.
+    """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    read = sum(size for size in sizes if size < UNKNOWN_BYTES)
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(default, min(-(-read // PARTITION_BYTES), MOST_PARTITIONS))
 

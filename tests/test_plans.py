@@ -1,0 +1,136 @@
+"""What the plans must look like for the queries to hold on large tables."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from slipway.operators.decode import decode_submissions, route_submissions, valid_submissions
+from slipway.operators.render import render_csv, render_json, render_rows
+from slipway.plans.acceptance import ACCEPTANCE, sql_join_asof
+from slipway.session import open_session, partitions_for, size_shuffles
+
+
+@pytest.fixture(scope="module")
+def large(spark):
+    """A session that plans as if no table were small enough to broadcast."""
+    return open_session(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"})
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ACCEPTANCE)
+def test_no_product_of_rows_and_no_python(large, folder, name):
+    text = plan(ACCEPTANCE[name].run(large, folder))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython"):
+        assert operator not in text
+
+
+UNIQUE_KEYS = {"c_custkey", "p_partkey", "s_suppkey", "o_orderkey", "n_nationkey", "r_regionkey"}
+# Joins to one of the 25 nations are broadcast at their real size.
+DIMENSION_KEYS = {"c_nationkey", "n_regionkey", "s_nationkey"}
+
+
+def unsafe_shuffles(text):
+    """Shuffles of scanned rows by a key that is not unique, without a partial aggregate in between."""
+    lines, found = text.splitlines(), []
+    for i, line in enumerate(lines):
+        if "Exchange" not in line or "SinglePartition" in line or "Reused" in line:
+            continue
+        below = []
+        for later in lines[i + 1 :]:
+            below.append(later)
+            if any(op in later for op in ("Scan", "Exchange", "Join", "Window")):
+                break
+        if "Scan" in below[-1] and not any("Aggregate" in b for b in below):
+            keys = set(re.findall(r"\b([a-z]+_[a-z]+)#", line.split("partitioning(")[1]))
+            if not keys or keys - UNIQUE_KEYS - DIMENSION_KEYS:
+                found.append(line)
+    return found
+
+
+def test_unsafe_shuffles_are_found(large, folder):
+    orders = large.read.parquet(f"{folder}/orders.parquet")
+    orders.createOrReplaceTempView("all_orders")
+    for sql in (
+        "select row_number() over (partition by o_custkey order by o_orderkey) as n from all_orders",
+        "select * from all_orders order by o_orderstatus",
+        "select a.* from all_orders a join all_orders b on a.o_custkey = b.o_custkey",
+    ):
+        assert unsafe_shuffles(plan(large.sql(sql)))
+
+
+@pytest.mark.parametrize("name", ACCEPTANCE)
+def test_rows_are_aggregated_before_they_are_shuffled(large, folder, name):
+    assert unsafe_shuffles(plan(ACCEPTANCE[name].run(large, folder))) == []
+
+
+@pytest.mark.parametrize(
+    ("name", "expected"),
+    [
+        ("sql_filter_project", ["LessThan(l_shipdate,1996-01-01", "In(l_returnflag, [A,R])"]),
+        ("sql_like_between", ["GreaterThanOrEqual(p_size,5)", "LessThanOrEqual(p_size,20)"]),
+        ("sql_join_semi", ["EqualTo(o_orderpriority,1-URGENT)", "EqualTo("]),
+        ("sql_positional_args", ["GreaterThan(o_totalprice,200000.0)", "EqualTo(o_orderstatus,F)"]),
+    ],
+)
+def test_filters_reach_the_scan(spark, folder, name, expected):
+    df = ACCEPTANCE[name].run(spark, folder)
+    pushed = " ".join(re.findall(r"PushedFilters: \[.*?\], ReadSchema", df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).replace("\n", ", ")))
+    for text in expected:
+        assert text in pushed
+
+
+@pytest.mark.parametrize(
+    ("name", "columns"),
+    [
+        ("sql_agg_distinct", {"l_partkey", "l_linenumber"}),
+        ("sql_having", {"o_custkey", "o_totalprice"}),
+        ("sql_tumbling", {"ts", "event_type"}),
+        ("sql_explode", {"text"}),
+        ("sql_session", {"user_id", "ts"}),
+    ],
+)
+def test_only_needed_columns_are_read(spark, folder, name, columns):
+    schemas = re.findall(r"ReadSchema: struct<(.*?)>", plan(ACCEPTANCE[name].run(spark, folder)))
+    assert {field.split(":")[0] for schema in schemas for field in schema.split(",")} == columns
+
+
+def test_sort_limit_is_a_top_k(spark, folder):
+    assert "TakeOrderedAndProject" in plan(ACCEPTANCE["sql_topk"].run(spark, folder))
+
+
+def test_decoding_and_rendering_do_not_shuffle(table):
+    documents = table("documents").select(F.to_json(F.struct(F.lit("SQL").alias("type"), "text")).alias("value"))
+    assert "Exchange" not in plan(route_submissions(valid_submissions(decode_submissions(documents))))
+    for render in (render_json, render_csv, render_rows):
+        assert "Exchange" not in plan(render(table("customer")))
+
+
+def test_asof_groups_are_bounded_by_the_sort_partitions(spark, folder):
+    text = plan(sql_join_asof(spark, folder))
+    assert "Window" in text and "Join" in text
+    windows = re.findall(r"Window \[.*windowspecdefinition\((.*?), specifiedwindowframe", text)
+    assert len(windows) == 2
+    assert all(re.match(r"_part#\d+, user_id|user_id#\d+L?, _part", w) for w in windows)
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+    session = open_session(spark, {"spark.sql.shuffle.partitions": "8"})
+    session.range(200_000).write.parquet(str(tmp_path / "t"))
+    df = session.read.parquet(str(tmp_path / "t"))
+    assert partitions_for(df) == 8
+    monkeypatch.setattr("slipway.session.PARTITION_BYTES", 10_000)
+    assert 8 < partitions_for(df) < 1000
+    grouped = size_shuffles(df.groupBy((F.col("id") % 100).alias("k")).count())
+    assert f", {partitions_for(df)})" in plan(grouped)
+
+
+def test_sources_of_unknown_size_do_not_count(spark):
+    session = open_session(spark, {"spark.sql.shuffle.partitions": "8"})
+    rows = session.createDataFrame([(i,) for i in range(10)], "i int")
+    assert partitions_for(rows.groupBy("i").count()) == 8
+    assert partitions_for(rows.mapInPandas(lambda batches: batches, "i int")) == 8
