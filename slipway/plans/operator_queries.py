@@ -33,9 +33,9 @@ class OperatorQuery:
 OPERATORS: dict[str, OperatorQuery] = {}
 
 
-def _query(oracle: str | None):
+def _query(name: str, oracle: str | None):
     def add(run):
-        OPERATORS[run.__name__.lstrip("_")] = OperatorQuery(run, oracle)
+        OPERATORS[name] = OperatorQuery(run, oracle)
         return run
 
     return add
@@ -57,10 +57,11 @@ def _json(**fields: Column) -> Column:
 
 
 @_query(
+    "decode_submissions",
     "select doc_id, 'SQL' as type, text as code, cast(doc_id as varchar) as a0, lang, source as result_format "
-    "from documents"
+    "from documents",
 )
-def decode_submissions_(spark, folder):
+def _decode_submissions(spark, folder):
     submissions = _table(spark, folder, "documents").select(
         "doc_id",
         _json(
@@ -97,17 +98,19 @@ def _event_submissions(spark, folder) -> DataFrame:
 
 
 @_query(
+    "rejected_submissions",
     "select event_id, case event_type when 'view' then 'UNKNOWN_TYPE' when 'purchase' then 'UNKNOWN_FIELD' "
-    "when 'signup' then 'BAD_FIELD_TYPE' else 'MALFORMED' end as reason from events where event_type <> 'click'"
+    "when 'signup' then 'BAD_FIELD_TYPE' else 'MALFORMED' end as reason from events where event_type <> 'click'",
 )
-def rejected_submissions(spark, folder):
+def _rejected_submissions(spark, folder):
     decoded = decode_submissions(_event_submissions(spark, folder))
     return decoded.filter(F.col("reason").isNotNull()).select("event_id", "reason")
 
 
 @_query(
+    "notebook_requests",
     "select event_id, case event_type when 'purchase' then '--event ' || event_id end as arguments "
-    "from events where event_type in ('purchase', 'click')"
+    "from events where event_type in ('purchase', 'click')",
 )
 def _notebook_requests(spark, folder):
     kind, event = F.col("event_type"), F.col("event_id").cast("string")
@@ -127,12 +130,13 @@ def _notebook_requests(spark, folder):
 
 
 @_query(
+    "route_submissions",
     """select event_type, case when t = 'SQL' then 'sql' when t in ('PYTHON', 'PYTHON_BASE64') then 'job'
               else 'unsupported' end as route, p = '' as inline, count(*) as n
        from (select event_type, case event_type when 'click' then 'SQL' when 'purchase' then 'PYTHON'
                     when 'view' then 'PYTHON_BASE64' else 'COMMAND' end as t,
                     case when value > 50 then '' else 'p' end as p from events)
-       group by all"""
+       group by all""",
 )
 def _route_submissions(spark, folder):
     kind = F.col("event_type")
@@ -151,16 +155,16 @@ def _route_submissions(spark, folder):
     return routed.groupBy("event_type", "route", "inline").agg(F.count("*").alias("n"))
 
 
-@_query("select doc_id, text as t from documents")
-def base64_decode(spark, folder):
+@_query("base64_decode", "select doc_id, text as t from documents")
+def _base64_decode(spark, folder):
     encoded = _table(spark, folder, "documents").select(
         "doc_id", F.base64(F.col("text").cast("binary")).alias("code")
     )
     return encoded.select("doc_id", base64_text(F.col("code")).alias("t"))
 
 
-@_query("select c_custkey, c_name as name, c_mktsegment || '=1' as seg, 2::int as n from customer")
-def kv_map(spark, folder):
+@_query("kv_map", "select c_custkey, c_name as name, c_mktsegment || '=1' as seg, 2::int as n from customer")
+def _kv_map(spark, folder):
     header = F.concat(F.lit("name=x,junk,seg="), "c_mktsegment", F.lit("=1,name="), "c_name")
     maps = _table(spark, folder, "customer").select("c_custkey", key_value_map(header).alias("m"))
     return maps.select(
@@ -172,12 +176,13 @@ def kv_map(spark, folder):
 
 
 @_query(
+    "inline_ddl_table",
     """select label, count(*) as n, cast(sum(weight) as bigint) as weight
        from events join (values ('click', 1, 'low'), ('view', 0, 'low'), ('purchase', 10, 'high'),
                                 ('signup', 5, 'high')) l(kind, weight, label) on event_type = kind
-       group by label"""
+       group by label""",
 )
-def inline_ddl_table(spark, folder):
+def _inline_ddl_table(spark, folder):
     """Rows at hand with a declared schema, joined to a table."""
     labels = literal_rows(
         spark,
@@ -189,8 +194,8 @@ def inline_ddl_table(spark, folder):
     return joined.groupBy("label").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("weight")).alias("weight"))
 
 
-@_query("select c_mktsegment, count(*) as n, round(sum(c_acctbal), 2) as s from customer group by 1")
-def catalog_table(spark, folder):
+@_query("catalog_table", "select c_mktsegment, count(*) as n, round(sum(c_acctbal), 2) as s from customer group by 1")
+def _catalog_table(spark, folder):
     path = work_path(spark, "catalog")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     totals = run_sql(
@@ -201,8 +206,8 @@ def catalog_table(spark, folder):
     return run_sql(open_session(spark), f"select * from {name}")
 
 
-@_query("select event_type, count(*) as n from events group by 1")
-def global_temp_view(spark, folder):
+@_query("global_temp_view", "select event_type, count(*) as n from events group by 1")
+def _global_temp_view(spark, folder):
     name = work_path(spark, "view").rsplit("/", 1)[1].replace("-", "_")
     counts = _table(spark, folder, "events").groupBy("event_type").agg(F.count("*").alias("n"))
     publish_global_view(counts, name)
@@ -210,10 +215,11 @@ def global_temp_view(spark, folder):
 
 
 @_query(
+    "session_isolation",
     "select role, count(*) as n, cast(sum(length(text)) as bigint) as chars from conversations "
-    "where role in ('user', 'assistant') group by 1"
+    "where role in ('user', 'assistant') group by 1",
 )
-def session_isolation(spark, folder):
+def _session_isolation(spark, folder):
     """Two sessions use one view name for different rows."""
 
     def totals(role: str) -> DataFrame:
@@ -224,8 +230,8 @@ def session_isolation(spark, folder):
     return totals("user").union(totals("assistant"))
 
 
-@_query("select count(*) as n from lineitem")
-def row_count(spark, folder):
+@_query("row_count", "select count(*) as n from lineitem")
+def _row_count(spark, folder):
     return run_sql(_session(spark, folder, "lineitem"), "select count(*) as n from lineitem")
 
 
@@ -242,10 +248,11 @@ def _priority_totals(session, arguments, environment):
 
 
 @_query(
+    "named_job",
     "select o_orderpriority, count(*) as n, round(sum(o_totalprice), 2) as total from orders "
-    "where year(o_orderdate) >= 1998 group by 1"
+    "where year(o_orderdate) >= 1998 group by 1",
 )
-def named_job(spark, folder):
+def _named_job(spark, folder):
     return JOBS.run(_session(spark, folder, "orders"), "priority_totals", ["1998"])
 
 
@@ -253,43 +260,48 @@ def named_job(spark, folder):
 
 
 @_query(
+    "render_json",
     "select cast(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey, "
-    "'c_acctbal': c_acctbal, 'c_mktsegment': c_mktsegment}) as varchar) as value from customer"
+    "'c_acctbal': c_acctbal, 'c_mktsegment': c_mktsegment}) as varchar) as value from customer",
 )
 def _render_json(spark, folder):
     return render_json(_table(spark, folder, "customer"))
 
 
-@_query("select concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority) as value from orders")
+@_query(
+    "render_csv",
+    "select concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority) as value from orders",
+)
 def _render_csv(spark, folder):
     return render_csv(_table(spark, folder, "orders").drop("o_orderdate"))
 
 
 @_query(
+    "render_rows",
     "select cast(to_json([cast(p_partkey as varchar), p_name, p_brand, p_type, cast(p_size as varchar), "
-    "cast(p_retailprice as varchar)]) as varchar) as value from part"
+    "cast(p_retailprice as varchar)]) as varchar) as value from part",
 )
 def _render_rows(spark, folder):
     return render_rows(_table(spark, folder, "part"))
 
 
 @_query(
+    "render_columns",
     """with o as (select row_number() over (order by o_orderkey) - 1 as i, * from orders),
-            e as (select 'o_custkey' as "column", i, cast(to_json(o_custkey) as varchar) as v from o
+            e as (select 'o_orderkey' as "column", i, cast(to_json(o_orderkey) as varchar) as v from o
+                  union all select 'o_custkey', i, cast(to_json(o_custkey) as varchar) from o
                   union all select 'o_orderpriority', i, cast(to_json(o_orderpriority) as varchar) from o
                   union all select 'o_orderdate', i, cast(epoch_ms(o_orderdate) as varchar) from o)
        select "column", i // 1000 as chunk, '{' || string_agg('"' || i || '":' || v, ',' order by i) || '}' as value
-       from e group by 1, 2"""
+       from e group by 1, 2""",
 )
 def _render_columns(spark, folder):
-    orders = _table(spark, folder, "orders")
-    return render_columns(orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"), ["o_orderkey"]).filter(
-        F.col("column") != "o_orderkey"
-    )
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    return render_columns(orders, ["o_orderkey"])
 
 
-@_query("select event_id, row_number() over (order by user_id, ts, event_id) - 1 as i from events")
-def row_positions(spark, folder):
+@_query("row_positions", "select event_id, row_number() over (order by user_id, ts, event_id) - 1 as i from events")
+def _row_positions(spark, folder):
     events = _table(spark, folder, "events").select("event_id", "user_id", "ts")
     return with_row_index(events, ["user_id", "ts", "event_id"], "i").select("event_id", "i")
 
@@ -303,53 +315,53 @@ def _round_trip(table: DataFrame, result_format: str | None) -> DataFrame:
     return read_result(table.sparkSession, path, result_format, table.schema)
 
 
-@_query("select * from documents")
-def sink_roundtrip_csv(spark, folder):
+@_query("sink_roundtrip_csv", "select * from documents")
+def _sink_roundtrip_csv(spark, folder):
     return _round_trip(_table(spark, folder, "documents"), "csv")
 
 
-@_query("select * from events")
-def sink_roundtrip_json(spark, folder):
+@_query("sink_roundtrip_json", "select * from events")
+def _sink_roundtrip_json(spark, folder):
     return _round_trip(_table(spark, folder, "events"), "json")
 
 
-@_query("select * from lineitem")
-def sink_roundtrip_parquet(spark, folder):
+@_query("sink_roundtrip_parquet", "select * from lineitem")
+def _sink_roundtrip_parquet(spark, folder):
     return _round_trip(_table(spark, folder, "lineitem"), "parquet")
 
 
-@_query("select * from conversations")
-def sink_roundtrip_orc(spark, folder):
+@_query("sink_roundtrip_orc", "select * from conversations")
+def _sink_roundtrip_orc(spark, folder):
     return _round_trip(_table(spark, folder, "conversations"), "orc")
 
 
-@_query("select p_name as value from part")
-def sink_roundtrip_text(spark, folder):
+@_query("sink_roundtrip_text", "select p_name as value from part")
+def _sink_roundtrip_text(spark, folder):
     return _round_trip(_table(spark, folder, "part").select(F.col("p_name").alias("value")), "text")
 
 
-@_query("select * from customer")
-def sink_roundtrip_xml(spark, folder):
+@_query("sink_roundtrip_xml", "select * from customer")
+def _sink_roundtrip_xml(spark, folder):
     return _round_trip(_table(spark, folder, "customer"), "xml")
 
 
-@_query("select * from orders")
-def sink_roundtrip_default(spark, folder):
+@_query("sink_roundtrip_default", "select * from orders")
+def _sink_roundtrip_default(spark, folder):
     return _round_trip(_table(spark, folder, "orders"), None)
 
 
 # Functions
 
 
-@_query("select event_id, value * value as v from events")
-def udf_sql(spark, folder):
+@_query("udf_sql", "select event_id, value * value as v from events")
+def _udf_sql(spark, folder):
     session = _session(spark, folder, "events")
     register_sql_function(session, "mysqr", "x double", "double", "x * x")
     return run_sql(session, "select event_id, mysqr(value) as v from events")
 
 
-@_query("select event_id, value * value as v from events")
-def udf_pandas(spark, folder):
+@_query("udf_pandas", "select event_id, value * value as v from events")
+def _udf_pandas(spark, folder):
     def square(values: pd.Series) -> pd.Series:
         return values * values
 
@@ -358,18 +370,19 @@ def udf_pandas(spark, folder):
     return run_sql(session, "select event_id, sqr(value) as v from events")
 
 
-@_query("select event_type, round(avg(value), 6) as v from events group by event_type")
-def udaf_pandas(spark, folder):
+@_query("udaf_pandas", "select event_type, round(avg(value), 6) as v from events group by event_type")
+def _udaf_pandas(spark, folder):
     means = mean_by(_table(spark, folder, "events"), "event_type", "value")
     return means.select("event_type", F.round("mean", 6).alias("v"))
 
 
 @_query(
+    "udtf_rows",
     """select doc_id, i::int as i, lines[i + 1] as line
        from (select doc_id, lines, unnest(range(len(lines))) as i
-             from (select doc_id, string_split(text, chr(10)) as lines from documents))"""
+             from (select doc_id, string_split(text, chr(10)) as lines from documents))""",
 )
-def udtf_rows(spark, folder):
+def _udtf_rows(spark, folder):
     session = _session(spark, folder, "documents")
     register_lines(session)
     return run_sql(session, "select doc_id, t.i, t.line from documents, lateral lines(text) t")
@@ -414,15 +427,15 @@ _SEGMENTS_ORACLE = (
 )
 
 
-@_query(_SEGMENTS_ORACLE)
-def run_submissions(spark, folder):
+@_query("run_submissions", _SEGMENTS_ORACLE)
+def _run_submissions(spark, folder):
     runner = _runner(spark, folder, "customer")
     runner.run(_segment_submissions(spark, folder))
     return _segment_results(spark, runner)
 
 
-@_query(_SEGMENTS_ORACLE)
-def stream_submissions(spark, folder):
+@_query("stream_submissions", _SEGMENTS_ORACLE)
+def _stream_submissions(spark, folder):
     """The same submissions, arriving as files."""
     runner = _runner(spark, folder, "customer")
     inbox = work_path(spark, "inbox")
@@ -432,10 +445,11 @@ def stream_submissions(spark, folder):
 
 
 @_query(
+    "inline_results",
     """select c_mktsegment, cast(count(*) as varchar) as inline_rows
-       from customer group by 1"""
+       from customer group by 1""",
 )
-def inline_results(spark, folder):
+def _inline_results(spark, folder):
     """Results without a path are kept as rendered text."""
     runner = _runner(spark, folder, "customer")
     segments = _table(spark, folder, "customer").select("c_mktsegment").distinct()
@@ -456,6 +470,7 @@ def inline_results(spark, folder):
 
 
 @_query(
+    "submission_status",
     """select event_type as label, case event_type when 'click' then 'OK' when 'view' then 'FAILED'
               when 'purchase' then 'UNSUPPORTED' when 'signup' then 'REJECTED' else 'OK' end as state,
               case event_type when 'view' then 'DIVIDE_BY_ZERO' when 'signup' then 'UNKNOWN_FIELD' end as condition,
@@ -463,9 +478,9 @@ def inline_results(spark, folder):
               when 'purchase' then 'R code submitted' when 'signup' then 'Failed to parse code submission'
               else 'PYTHON_BASE64 code submitted' end as response,
               cast(count(*) as bigint) as deliveries
-       from events group by event_type"""
+       from events group by event_type""",
 )
-def submission_status(spark, folder):
+def _submission_status(spark, folder):
     """One submission per event, the same for all events of a type: each type is run once, its deliveries counted."""
     kind = F.col("event_type")
     submissions = _table(spark, folder, "events").select(
@@ -503,8 +518,11 @@ def _event_stream(spark, folder) -> DataFrame:
     return events.select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
 
 
-@_query("select time_bucket(interval '1 hour', ts) as ws, event_type, count(*) as n from events group by 1, 2")
-def stream_tumbling(spark, folder):
+@_query(
+    "stream_tumbling",
+    "select time_bucket(interval '1 hour', ts) as ws, event_type, count(*) as n from events group by 1, 2",
+)
+def _stream_tumbling(spark, folder):
     session = open_session(spark, {"spark.sql.session.timeZone": "UTC"})
     path, checkpoint = work_path(spark, "windows"), work_path(spark, "checkpoint")
     counts = tumbling_counts(_event_stream(session, folder), "ts", ["event_type"], "1 hour")
@@ -514,12 +532,13 @@ def stream_tumbling(spark, folder):
 
 
 @_query(
+    "stream_watermark",
     """select time_bucket(interval '1 hour', ts) as ws, event_type, count(*) as n from events
        where time_bucket(interval '1 hour', ts) + interval '1 hour'
              <= (select max(ts) from events) - interval '1 hour'
-       group by 1, 2"""
+       group by 1, 2""",
 )
-def stream_watermark(spark, folder):
+def _stream_watermark(spark, folder):
     """Only windows that the watermark, one hour behind the latest event, has closed."""
     session = open_session(spark, {"spark.sql.session.timeZone": "UTC"})
     path, checkpoint = work_path(spark, "windows"), work_path(spark, "checkpoint")
@@ -527,10 +546,3 @@ def stream_watermark(spark, folder):
     flat = counts.select(F.col("window.start").cast("timestamp_ntz").alias("ws"), "event_type", "n")
     append_closed(flat, path, checkpoint).awaitTermination()
     return session.read.schema(flat.schema).parquet(path)
-
-
-def _rename(old: str, new: str) -> None:
-    OPERATORS[new] = OPERATORS.pop(old)
-
-
-_rename("decode_submissions_", "decode_submissions")

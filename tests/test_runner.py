@@ -26,7 +26,8 @@ def jobs():
 
     @registry.register("double")
     def double(session, arguments, environment):
-        return session.range(int(arguments[0])).select((F.col("id") * 2).alias("v"), F.lit(environment.get("E")).alias("e"))
+        label = F.lit(environment.get("E")).alias("e")
+        return session.range(int(arguments[0])).select((F.col("id") * 2).alias("v"), label)
 
     return registry
 
@@ -160,3 +161,23 @@ def test_session_settings(spark, tmp_path):
 def test_nothing_to_run(spark, runner):
     assert runner.run(submissions(spark).limit(0)).count() == 0
     assert runner.status(spark).count() == 0
+
+
+def test_statement_without_a_result(spark, runner):
+    code = "create or replace temporary view v as select 1 as a"
+    rows = runner.run(
+        submissions(
+            spark,
+            submission(type="SQL", code=code),
+            submission(type="SQL", code=code, resultFormat="csv"),
+            submission(type="SQL", code=code, resultFormat="x"),
+            submission(type="SQL", code=code, resultPath="no such field"),
+        )
+    ).collect()
+    assert sorted(r.state for r in rows) == ["OK", "OK", "OK", "REJECTED"]
+    assert all(spark.read.text(r.results_path).count() == 0 for r in rows if r.state == "OK")
+
+
+def test_submission_that_names_an_unknown_database(spark, runner):
+    (row,) = runner.run(submissions(spark, submission(type="SQL", code="select * from a.b.c.d"))).collect()
+    assert row.state == "FAILED" and row.error_condition and row.error_message

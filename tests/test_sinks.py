@@ -10,7 +10,8 @@ from slipway.operators.sinks import (
 from slipway.session import open_session
 
 TRICKY = [
-    (1, ""), (2, None), (3, " x "), (4, 'a"b'), (5, "l1\nl2"), (6, '"'), (7, "a\\"), (8, ","), (9, "\r\n"), (10, " "), (11, "<a>&amp;"), (12, "\n"),
+    (1, ""), (2, None), (3, " x "), (4, 'a"b'), (5, "l1\nl2"), (6, '"'), (7, "a\\"), (8, ","),
+    (9, "\r\n"), (10, " "), (11, "<a>&amp;"), (12, "\n"),
 ]
 
 
@@ -38,7 +39,9 @@ def test_tricky_text(spark, tmp_path, result_format):
 
 @pytest.mark.parametrize("result_format", ["csv", "json", "orc", "parquet"])
 def test_microseconds(spark, tmp_path, result_format):
-    df = spark.sql("select timestamp '2024-01-02 03:04:05.123456' as a, timestamp_ntz '2024-01-02 03:04:05.000001' as b")
+    df = spark.sql(
+        "select timestamp '2024-01-02 03:04:05.123456' as a, timestamp_ntz '2024-01-02 03:04:05.000001' as b"
+    )
     write_result(df, str(tmp_path / "out"), result_format)
     assert_same(df, read_result(spark, str(tmp_path / "out"), result_format, df.schema))
 

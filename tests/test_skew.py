@@ -41,7 +41,8 @@ def skewed(spark, tmp_path_factory):
         number = F.abs(F.xxhash64(F.lit(name), *df.columns))
         if name in HOT:
             key, value = HOT[name]
-            df = df.withColumn(key, F.when(number % 3 == 0, F.lit(value)).otherwise(F.col(key)).cast(df.schema[key].dataType))
+            hot = F.lit(value).cast(df.schema[key].dataType)
+            df = df.withColumn(key, F.when(number % 3 == 0, hot).otherwise(F.col(key)))
         for i, column in enumerate(MISSING.get(name, [])):
             df = df.withColumn(column, F.when(number % 11 != i + 3, F.col(column)))
         df.write.parquet(f"{folder}/{name}.parquet")
