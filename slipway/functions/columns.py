@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """``name`` as SQL text that means the column of that name, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def column(name: str) -> Column:
-    """The column called ``name``, whatever characters that has."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slipway.functions.columns import column
+from slipway.functions.columns import quoted
 
 # The fields of a submission and the names its type may have.
 SUBMISSION_DDL = (
@@ -28,30 +28,32 @@ def submission_id(value: Column, source_file: Column) -> Column:
 
 _TEXT_FIELDS = tuple(name for name in SUBMISSION_FIELDS if name not in ("arguments", "environment"))
 
-
-def _is_nested(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)<"), F.lit(False))
-
-
-def _has_nested_value(text: Column, record: Column) -> Column:
-    """True if a field that takes text, or an element of ``arguments`` or ``environment``, is an object or array.
-
-    Such a value decodes to its JSON text. So only submissions with a value that begins like one are looked at again.
-    """
-    suspect = F.lit(False)
-    for name in _TEXT_FIELDS:
-        begin = F.substring(record[name], 1, 1)
-        suspect |= F.coalesce(begin.isin("[", "{"), F.lit(False))
-    elements = F.concat_ws("\n", F.lit(""), record["arguments"], F.map_values(record["environment"]))
-    suspect |= elements.rlike(r"\n[\[{]")
-
-    whole = F.try_parse_json(text)
-    parts = F.concat(
-        F.array(*[F.try_variant_get(whole, f"$.{name}", "variant") for name in _TEXT_FIELDS]),
-        F.coalesce(F.try_variant_get(whole, "$.arguments", "array<variant>"), F.array()),
-        F.coalesce(F.map_values(F.try_variant_get(whole, "$.environment", "map<string,variant>")), F.array()),
-    )
-    return F.when(suspect, F.exists(parts, _is_nested)).otherwise(F.lit(False))
+_KEY_FAULT = f"""
+case when _keys is null then 'MALFORMED'
+     when array_contains(_keys, 'appId') then 'NOTEBOOK'
+     when size(array_except(_keys, array{SUBMISSION_FIELDS})) > 0 then 'UNKNOWN_FIELD' end
+"""
+
+# True if a field that takes text, or an element of `arguments` or `environment`, is an object or array. Such a value
+# decodes to its JSON text, so only submissions with a value that begins like one are looked at again.
+_SUSPECT = rf"""
+coalesce({" or ".join(f"left(_record.{name}, 1) in ('[', '{{')" for name in _TEXT_FIELDS)}, false)
+or concat_ws('\n', '', _record.arguments, map_values(_record.environment)) rlike '\\n[\\[{{]'
+"""
+_NESTED = """
+exists(
+  concat(array({text}),
+         coalesce(try_variant_get(try_parse_json({value}), '$.arguments', 'array<variant>'), array()),
+         coalesce(map_values(try_variant_get(try_parse_json({value}), '$.environment', 'map<string,variant>')),
+                  array())),
+  part -> coalesce(schema_of_variant(part) rlike '^(OBJECT|ARRAY)<', false))
+"""
+
+_REASON = f"""
+case when _fault is not null then _fault
+     when _record.{_CORRUPT} is not null or case when {_SUSPECT} then {_NESTED} else false end then 'BAD_FIELD_TYPE'
+     when coalesce(_record.type not in {SUBMISSION_TYPES}, true) then 'UNKNOWN_TYPE' end
+"""
 
 
 def decode_submissions(df: DataFrame, value: str = "value") -> DataFrame:
@@ -67,34 +69,20 @@ def decode_submissions(df: DataFrame, value: str = "value") -> DataFrame:
     UNKNOWN_TYPE    ``type`` is absent or not one of the known names
     ==============  ===========================================================================
     """
-    text = F.col(value)
-    keys = F.json_object_keys(text)
-    record = F.from_json(
-        text, f"{SUBMISSION_DDL}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"}
-    )
-    key_fault = (
-        F.when(F.col("_keys").isNull(), "MALFORMED")
-        .when(F.array_contains("_keys", "appId"), "NOTEBOOK")
-        .when(F.size(F.array_except("_keys", F.array(*map(F.lit, SUBMISSION_FIELDS)))) > 0, "UNKNOWN_FIELD")
-    )
+    text = quoted(value)
+    parts = ", ".join(f"try_variant_get(try_parse_json({text}), '$.{name}', 'variant')" for name in _TEXT_FIELDS)
+    reason = _REASON.replace("{text}", parts).replace("{value}", text)
+    options = f"map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '{_CORRUPT}')"
+    record = f"from_json({text}, '{SUBMISSION_DDL}, {_CORRUPT} string', {options})"
     # As generated rows, so that a filter on the outcome is not pushed below the parsing and parses again. The record
     # is parsed only where the keys are in order: failing to parse takes far longer than parsing.
-    staged = df.select("*", F.inline(F.array(F.struct(keys.alias("_keys")))))
-    staged = staged.select(
-        "*",
-        F.inline(
-            F.array(F.struct(key_fault.alias("_fault"), F.when(key_fault.isNull(), record).alias("_record")))
-        ),
-    )
-    reason = (
-        F.when(F.col("_fault").isNotNull(), F.col("_fault"))
-        .when(F.col(f"_record.{_CORRUPT}").isNotNull() | _has_nested_value(text, F.col("_record")), "BAD_FIELD_TYPE")
-        .when(~F.coalesce(F.col("_record.type").isin(*SUBMISSION_TYPES), F.lit(False)), "UNKNOWN_TYPE")
-    )
-    return staged.select(
-        *[column(name) for name in df.columns],
-        *[F.col(f"_record.{name}").alias(name) for name in SUBMISSION_FIELDS],
-        reason.alias("reason"),
+    staged = df.selectExpr("*", f"inline(array(struct(json_object_keys({text}) as _keys)))")
+    staged = staged.selectExpr("*", f"inline(array(struct({_KEY_FAULT} as _fault)))")
+    staged = staged.selectExpr("*", f"inline(array(struct(case when _fault is null then {record} end as _record)))")
+    return staged.selectExpr(
+        *[quoted(name) for name in df.columns],
+        *[f"_record.{name} as {name}" for name in SUBMISSION_FIELDS],
+        f"{reason} as reason",
     )
 
 

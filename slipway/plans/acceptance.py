@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from slipway.operators.execute import run_sql
 from slipway.operators.positions import sorted_table
-from slipway.session import open_session, register_views, size_shuffles
+from slipway.plans.tables import read_table, views
+from slipway.session import open_session, size_shuffles
 
 
 @dataclass(frozen=True)
@@ -27,7 +28,7 @@ class Query:
     conf: Mapping[str, str] = field(default_factory=dict)
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        session = open_session(spark, self.conf, lambda s: register_views(s, folder, self.tables.split()))
+        session = open_session(spark, self.conf, views(folder, self.tables.split()))
         return size_shuffles(run_sql(session, self.sql, self.args))
 
     @property
@@ -410,7 +411,7 @@ where e.event_type = 'purchase' and o.event_type = 'click' group by e.event_id
 
 def sql_join_asof(spark: SparkSession, folder: str) -> DataFrame:
     def setup(session: SparkSession) -> None:
-        events = session.read.parquet(f"{folder}/events.parquet").select("event_id", "user_id", "ts", "event_type")
+        events = read_table(session, folder, "events").select("event_id", "user_id", "ts", "event_type")
         timeline = events.filter(F.col("event_type").isin("click", "purchase"))
         # At the same instant purchases come first: a click counts only if it is earlier.
         order = [F.col("user_id"), F.col("ts"), F.col("event_type") == "click", F.col("event_id")]

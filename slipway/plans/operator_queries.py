@@ -18,7 +18,8 @@ from slipway.operators.positions import with_row_index
 from slipway.operators.render import render_columns, render_csv, render_json, render_rows
 from slipway.operators.runner import Runner
 from slipway.operators.sinks import literal_rows, publish_global_view, read_result, write_result
-from slipway.session import open_session, register_views, table_views, work_path
+from slipway.plans.tables import read_table, views
+from slipway.session import open_session, work_path
 from slipway.sources.submissions import read_submissions
 from slipway.streaming.submissions import stream_submissions as start_stream
 from slipway.streaming.windows import append_closed, tumbling_counts, write_latest
@@ -41,12 +42,8 @@ def _query(name: str, oracle: str | None):
     return add
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
 def _session(spark: SparkSession, folder: str, *tables: str) -> SparkSession:
-    return open_session(spark, setup=lambda s: register_views(s, folder, tables))
+    return open_session(spark, setup=views(folder, tables))
 
 
 def _json(**fields: Column) -> Column:
@@ -62,7 +59,7 @@ def _json(**fields: Column) -> Column:
     "from documents",
 )
 def _decode_submissions(spark, folder):
-    submissions = _table(spark, folder, "documents").select(
+    submissions = read_table(spark, folder, "documents").select(
         "doc_id",
         _json(
             type=F.lit("SQL"),
@@ -85,13 +82,13 @@ def _decode_submissions(spark, folder):
 def _event_submissions(spark, folder) -> DataFrame:
     """A submission per event, with a different fault for each event type but one."""
     kind, code = F.col("event_type"), F.col("event_id").cast("string")
-    return _table(spark, folder, "events").select(
+    return read_table(spark, folder, "events").select(
         "event_id",
         "event_type",
-        F.when(kind == "click", _json(type=F.lit("SQL"), code=code))
-        .when(kind == "view", _json(type=F.lit("sql"), code=code))
-        .when(kind == "purchase", _json(type=F.lit("SQL"), resultPath=code))
-        .when(kind == "signup", _json(type=F.lit("SQL"), arguments=code))
+        F.when(kind == "click", F.concat(F.lit('{"type":"SQL","code":"'), code, F.lit('"}')))
+        .when(kind == "view", F.concat(F.lit('{"type":"sql","code":"'), code, F.lit('"}')))
+        .when(kind == "purchase", F.concat(F.lit('{"type":"SQL","resultPath":"'), code, F.lit('"}')))
+        .when(kind == "signup", F.concat(F.lit('{"type":"SQL","arguments":"'), code, F.lit('"}')))
         .otherwise(F.concat(F.lit("{bad "), code))
         .alias("value"),
     )
@@ -118,7 +115,7 @@ def _notebook_requests(spark, folder):
     def request(arguments: Column) -> Column:
         return _json(appId=event, configOverrides=F.struct(arguments.alias("arguments")))
 
-    submissions = _table(spark, folder, "events").select(
+    submissions = read_table(spark, folder, "events").select(
         "event_id",
         F.when(kind == "purchase", request(F.array(F.lit("--event"), event)))
         .when(kind == "click", request(event))
@@ -140,15 +137,19 @@ def _notebook_requests(spark, folder):
 )
 def _route_submissions(spark, folder):
     kind = F.col("event_type")
-    submissions = _table(spark, folder, "events").select(
+    submissions = read_table(spark, folder, "events").select(
         "event_type",
-        _json(
-            type=F.when(kind == "click", "SQL")
+        F.concat(
+            F.lit('{"type":"'),
+            F.when(kind == "click", "SQL")
             .when(kind == "purchase", "PYTHON")
             .when(kind == "view", "PYTHON_BASE64")
             .otherwise("COMMAND"),
-            code=F.base64(F.col("event_id").cast("string").cast("binary")),
-            resultsPath=F.when(F.col("value") > 50, "").otherwise("p"),
+            F.lit('","code":"'),
+            F.base64(F.col("event_id").cast("string").cast("binary")),
+            F.lit('","resultsPath":"'),
+            F.when(F.col("value") > 50, "").otherwise("p"),
+            F.lit('"}'),
         ).alias("value"),
     )
     routed = route_submissions(valid_submissions(decode_submissions(submissions)))
@@ -157,7 +158,7 @@ def _route_submissions(spark, folder):
 
 @_query("base64_decode", "select doc_id, text as t from documents")
 def _base64_decode(spark, folder):
-    encoded = _table(spark, folder, "documents").select(
+    encoded = read_table(spark, folder, "documents").select(
         "doc_id", F.base64(F.col("text").cast("binary")).alias("code")
     )
     return encoded.select("doc_id", base64_text(F.col("code")).alias("t"))
@@ -166,7 +167,7 @@ def _base64_decode(spark, folder):
 @_query("kv_map", "select c_custkey, c_name as name, c_mktsegment || '=1' as seg, 2::int as n from customer")
 def _kv_map(spark, folder):
     header = F.concat(F.lit("name=x,junk,seg="), "c_mktsegment", F.lit("=1,name="), "c_name")
-    maps = _table(spark, folder, "customer").select("c_custkey", key_value_map(header).alias("m"))
+    maps = read_table(spark, folder, "customer").select("c_custkey", key_value_map(header).alias("m"))
     return maps.select(
         "c_custkey", F.col("m")["name"].alias("name"), F.col("m")["seg"].alias("seg"), F.size("m").alias("n")
     )
@@ -189,7 +190,7 @@ def _inline_ddl_table(spark, folder):
         [("click", 1, "low"), ("view", 0, "low"), ("purchase", 10, "high"), ("signup", 5, "high")],
         "kind string, weight int, label string",
     )
-    counts = _table(spark, folder, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+    counts = read_table(spark, folder, "events").groupBy("event_type").agg(F.count("*").alias("n"))
     joined = counts.join(labels, counts["event_type"] == labels["kind"])
     return joined.groupBy("label").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("weight")).alias("weight"))
 
@@ -209,7 +210,7 @@ def _catalog_table(spark, folder):
 @_query("global_temp_view", "select event_type, count(*) as n from events group by 1")
 def _global_temp_view(spark, folder):
     name = work_path(spark, "view").rsplit("/", 1)[1].replace("-", "_")
-    counts = _table(spark, folder, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+    counts = read_table(spark, folder, "events").groupBy("event_type").agg(F.count("*").alias("n"))
     publish_global_view(counts, name)
     return run_sql(open_session(spark), f"select * from global_temp.{name}")
 
@@ -224,7 +225,7 @@ def _session_isolation(spark, folder):
 
     def totals(role: str) -> DataFrame:
         session = open_session(spark)
-        _table(session, folder, "conversations").filter(F.col("role") == role).createOrReplaceTempView("mine")
+        read_table(session, folder, "conversations").filter(F.col("role") == role).createOrReplaceTempView("mine")
         return run_sql(session, "select role, count(*) as n, sum(length(text)) as chars from mine group by role")
 
     return totals("user").union(totals("assistant"))
@@ -265,7 +266,7 @@ def _named_job(spark, folder):
     "'c_acctbal': c_acctbal, 'c_mktsegment': c_mktsegment}) as varchar) as value from customer",
 )
 def _render_json(spark, folder):
-    return render_json(_table(spark, folder, "customer"))
+    return render_json(read_table(spark, folder, "customer"))
 
 
 @_query(
@@ -273,7 +274,7 @@ def _render_json(spark, folder):
     "select concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority) as value from orders",
 )
 def _render_csv(spark, folder):
-    return render_csv(_table(spark, folder, "orders").drop("o_orderdate"))
+    return render_csv(read_table(spark, folder, "orders").drop("o_orderdate"))
 
 
 @_query(
@@ -282,7 +283,7 @@ def _render_csv(spark, folder):
     "cast(p_retailprice as varchar)]) as varchar) as value from part",
 )
 def _render_rows(spark, folder):
-    return render_rows(_table(spark, folder, "part"))
+    return render_rows(read_table(spark, folder, "part"))
 
 
 @_query(
@@ -296,13 +297,13 @@ def _render_rows(spark, folder):
        from e group by 1, 2""",
 )
 def _render_columns(spark, folder):
-    orders = _table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
     return render_columns(orders, ["o_orderkey"])
 
 
 @_query("row_positions", "select event_id, row_number() over (order by user_id, ts, event_id) - 1 as i from events")
 def _row_positions(spark, folder):
-    events = _table(spark, folder, "events").select("event_id", "user_id", "ts")
+    events = read_table(spark, folder, "events").select("event_id", "user_id", "ts")
     return with_row_index(events, ["user_id", "ts", "event_id"], "i").select("event_id", "i")
 
 
@@ -317,37 +318,37 @@ def _round_trip(table: DataFrame, result_format: str | None) -> DataFrame:
 
 @_query("sink_roundtrip_csv", "select * from documents")
 def _sink_roundtrip_csv(spark, folder):
-    return _round_trip(_table(spark, folder, "documents"), "csv")
+    return _round_trip(read_table(spark, folder, "documents"), "csv")
 
 
 @_query("sink_roundtrip_json", "select * from events")
 def _sink_roundtrip_json(spark, folder):
-    return _round_trip(_table(spark, folder, "events"), "json")
+    return _round_trip(read_table(spark, folder, "events"), "json")
 
 
 @_query("sink_roundtrip_parquet", "select * from lineitem")
 def _sink_roundtrip_parquet(spark, folder):
-    return _round_trip(_table(spark, folder, "lineitem"), "parquet")
+    return _round_trip(read_table(spark, folder, "lineitem"), "parquet")
 
 
 @_query("sink_roundtrip_orc", "select * from conversations")
 def _sink_roundtrip_orc(spark, folder):
-    return _round_trip(_table(spark, folder, "conversations"), "orc")
+    return _round_trip(read_table(spark, folder, "conversations"), "orc")
 
 
 @_query("sink_roundtrip_text", "select p_name as value from part")
 def _sink_roundtrip_text(spark, folder):
-    return _round_trip(_table(spark, folder, "part").select(F.col("p_name").alias("value")), "text")
+    return _round_trip(read_table(spark, folder, "part").select(F.col("p_name").alias("value")), "text")
 
 
 @_query("sink_roundtrip_xml", "select * from customer")
 def _sink_roundtrip_xml(spark, folder):
-    return _round_trip(_table(spark, folder, "customer"), "xml")
+    return _round_trip(read_table(spark, folder, "customer"), "xml")
 
 
 @_query("sink_roundtrip_default", "select * from orders")
 def _sink_roundtrip_default(spark, folder):
-    return _round_trip(_table(spark, folder, "orders"), None)
+    return _round_trip(read_table(spark, folder, "orders"), None)
 
 
 # Functions
@@ -372,7 +373,7 @@ def _udf_pandas(spark, folder):
 
 @_query("udaf_pandas", "select event_type, round(avg(value), 6) as v from events group by event_type")
 def _udaf_pandas(spark, folder):
-    means = mean_by(_table(spark, folder, "events"), "event_type", "value")
+    means = mean_by(read_table(spark, folder, "events"), "event_type", "value")
     return means.select("event_type", F.round("mean", 6).alias("v"))
 
 
@@ -393,7 +394,7 @@ def _udtf_rows(spark, folder):
 
 def _segment_submissions(spark, folder) -> DataFrame:
     """One SQL submission per market segment, its argument bound and its result stored by segment."""
-    segments = _table(spark, folder, "customer").select("c_mktsegment").distinct()
+    segments = read_table(spark, folder, "customer").select("c_mktsegment").distinct()
     code = (
         "select c_mktsegment, count(*) as n, round(sum(c_acctbal), 2) as s "
         "from customer where c_mktsegment = ? group by c_mktsegment"
@@ -410,7 +411,7 @@ def _segment_submissions(spark, folder) -> DataFrame:
 
 
 def _runner(spark, folder, *tables) -> Runner:
-    return Runner(work_path(spark, "results"), setup=table_views(spark, folder, tables), jobs=JOBS)
+    return Runner(work_path(spark, "results"), setup=views(folder, tables), jobs=JOBS)
 
 
 def _segment_results(spark, runner) -> DataFrame:
@@ -452,7 +453,7 @@ def _stream_submissions(spark, folder):
 def _inline_results(spark, folder):
     """Results without a path are kept as rendered text."""
     runner = _runner(spark, folder, "customer")
-    segments = _table(spark, folder, "customer").select("c_mktsegment").distinct()
+    segments = read_table(spark, folder, "customer").select("c_mktsegment").distinct()
     submissions = segments.select(
         _json(
             type=F.lit("SQL"),
@@ -483,7 +484,7 @@ def _inline_results(spark, folder):
 def _submission_status(spark, folder):
     """One submission per event, the same for all events of a type: each type is run once, its deliveries counted."""
     kind = F.col("event_type")
-    submissions = _table(spark, folder, "events").select(
+    submissions = read_table(spark, folder, "events").select(
         F.when(kind == "click", _json(type=F.lit("SQL"), code=F.lit("select count(*) as n from orders")))
         .when(kind == "view", _json(type=F.lit("SQL"), code=F.lit("select sum(o_orderkey / 0) as x from orders")))
         .when(kind == "purchase", _json(type=F.lit("R"), code=F.lit("print(1)")))
@@ -514,7 +515,7 @@ def _submission_status(spark, folder):
 def _event_stream(spark, folder) -> DataFrame:
     """Events as a stream; watermarks need ``timestamp``, so the wall-clock time is cast."""
     # As a pattern, so that the table may be one file or a folder of files.
-    events = spark.readStream.schema(_table(spark, folder, "events").schema).parquet(f"{folder}/events.parque[t]")
+    events = spark.readStream.schema(read_table(spark, folder, "events").schema).parquet(f"{folder}/events.parque[t]")
     return events.select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
 
 
