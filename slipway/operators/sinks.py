@@ -10,6 +10,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from slipway.session import file_path, file_system
+
 _MICROSECONDS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -37,12 +39,12 @@ _swap_lock = threading.Lock()
 
 
 class _Folder:
-    """A result folder and its siblings, reached through the file system that Spark itself uses for the path."""
+    """A result folder and its hidden siblings."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
+        target = file_path(spark, path)
         self._path_class = spark._jvm.org.apache.hadoop.fs.Path
-        target = self._path_class(path)
-        self._fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        self._fs = file_system(spark, target)
         self._target = self._fs.makeQualified(target)
         self._old = self._sibling("_old")
         self._staging = self._sibling(f"_staging-{uuid.uuid4().hex}")
@@ -118,15 +120,13 @@ def resolve_path(spark: SparkSession, root: str, path: str) -> str:
 
     Names that begin with ``_`` or ``.`` are refused as well: Spark hides them from readers.
     """
-    path_class = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
 
     def qualified(p: Any) -> str:
-        return p.getFileSystem(conf).makeQualified(p).toString()
+        return file_system(spark, p).makeQualified(p).toString()
 
-    top = qualified(path_class(root)).rstrip("/")
-    target = path_class(path)
-    full = qualified(target if target.isAbsolute() else path_class(path_class(root), target))
+    base, target = file_path(spark, root), file_path(spark, path)
+    top = qualified(base).rstrip("/")
+    full = qualified(target if target.isAbsolute() else file_path(spark, f"{root.rstrip('/')}/{path}"))
     below = full[len(top) + 1 :].split("/") if full.startswith(top + "/") else []
     if not below or any(name.startswith(("_", ".")) for name in below):
         raise PermissionError(f"{path!r} is not a result path below {root!r}")

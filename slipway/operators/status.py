@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from slipway.session import file_path, file_system
+
 STATUS_DDL = (
     "submission_id string, source_file string, type string, state string, error_condition string, "
     "error_message string, response string, results_path string, result_format string, deliveries bigint, "
@@ -44,8 +46,7 @@ def append_status_rows(spark: SparkSession, rows: Iterable[tuple], path: str) ->
 
 def status_table(spark: SparkSession, path: str) -> DataFrame:
     """The status table; empty if nothing was recorded yet."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    if not location.getFileSystem(conf).exists(location):
+    location = file_path(spark, path)
+    if not file_system(spark, location).exists(location):
         return spark.createDataFrame([], STATUS_DDL)
     return spark.read.schema(STATUS_DDL).parquet(path)

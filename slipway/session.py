@@ -6,6 +6,7 @@ import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,10 +97,20 @@ def size_shuffles(df: DataFrame) -> DataFrame:
     return df
 
 
+def file_path(spark: SparkSession, path: str) -> Any:
+    """``path`` as Spark itself takes it."""
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system(spark: SparkSession, path: Any) -> Any:
+    """The file system that Spark itself uses for the path."""
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that is no longer needed."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(location, True)
+    location = file_path(spark, path)
+    file_system(spark, location).delete(location, True)
 
 
 def register_views(session: SparkSession, folder: str, names: Iterable[str]) -> None:
