@@ -93,17 +93,17 @@ class Runner:
 
         is_rejected = F.col("reason").isNotNull()
         not_run = routed.filter(is_rejected | (F.col("route") == "unsupported"))
-        append_status(
-            not_run.select(
-                "submission_id", "source_file", "deliveries",
-                F.when(~is_rejected, F.col("type")).alias("type"),
-                F.when(is_rejected, "REJECTED").otherwise("UNSUPPORTED").alias("state"),
-                F.col("reason").alias("error_condition"),
-                F.when(is_rejected, PARSE_FAILURE).otherwise(accepted(F.col("type"))).alias("response"),
-            ),
-            self.status_path,
-        )
-        self._run_all(spark, routed.filter(~is_rejected & (F.col("route") != "unsupported")), settings)
+        outcomes = not_run.select(
+            "submission_id", "source_file", "deliveries",
+            F.when(~is_rejected, F.col("type")).alias("type"),
+            F.when(is_rejected, "REJECTED").otherwise("UNSUPPORTED").alias("state"),
+            F.col("reason").alias("error_condition"),
+            F.when(is_rejected, PARSE_FAILURE).otherwise(accepted(F.col("type"))).alias("response"),
+        )
+        with ThreadPoolExecutor(1) as recorder:
+            recorded = recorder.submit(append_status, outcomes, self.status_path)
+            self._run_all(spark, routed.filter(~is_rejected & (F.col("route") != "unsupported")), settings)
+            recorded.result()
 
     def _stage(self, submissions: DataFrame) -> str:
         """Write the distinct submissions, decoded, to the work folder: later steps read them more than once."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -29,12 +30,16 @@ def accepted(kind: Column) -> Column:
 
 
 def append_status(df: DataFrame, path: str) -> None:
-    """Append status rows; columns that ``df`` lacks are null."""
+    """Add status rows; columns that ``df`` lacks are null.
+
+    Every addition is a folder of its own: writers that add to one folder at a time would delete each other's
+    unfinished files.
+    """
     fields = [field.strip().split(" ") for field in STATUS_DDL.split(",")]
     columns = [
         (F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name) for name, kind in fields
     ]
-    df.select(*columns).write.mode("append").parquet(path)
+    df.select(*columns).write.parquet(f"{path}/{uuid.uuid4().hex}")
 
 
 def append_status_rows(spark: SparkSession, rows: Iterable[tuple], path: str) -> None:
@@ -49,4 +54,4 @@ def status_table(spark: SparkSession, path: str) -> DataFrame:
     location = file_path(spark, path)
     if not file_system(spark, location).exists(location):
         return spark.createDataFrame([], STATUS_DDL)
-    return spark.read.schema(STATUS_DDL).parquet(path)
+    return spark.read.schema(STATUS_DDL).option("recursiveFileLookup", "true").parquet(path)

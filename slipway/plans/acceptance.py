@@ -386,18 +386,18 @@ ACCEPTANCE: dict[str, Query] = {
 # the parts before is carried in from one row per part and user.
 ASOF_SQL = """
 with last_clicks as (
-  select _part, user_id, max(struct(ts, event_id)) filter (where event_type = 'click') as last_click
+  select _part, user_id, max_by(event_id, _pos) filter (where event_type = 'click') as last_click
   from timeline group by _part, user_id),
 carried as (
-  select _part, user_id, max(last_click) over (partition by user_id order by _part
+  select _part, user_id, last_value(last_click) ignore nulls over (partition by user_id order by _part
       rows between unbounded preceding and 1 preceding) as earlier
   from last_clicks),
 looked_back as (
   select _part, user_id, event_id, event_type,
-         max(case when event_type = 'click' then struct(ts, event_id) end)
-           over (partition by _part, user_id order by _pos) as latest
+         last_value(case when event_type = 'click' then event_id end) ignore nulls
+           over (partition by _part, user_id order by _pos rows unbounded preceding) as latest
   from timeline)
-select event_id, coalesce(latest, earlier).event_id as po
+select event_id, coalesce(latest, earlier) as po
 from looked_back join carried using (_part, user_id)
 where event_type = 'purchase' and coalesce(latest, earlier) is not null
 """

@@ -1,6 +1,7 @@
 import base64
 import json
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,3 +182,15 @@ def test_statement_without_a_result(spark, runner):
 def test_submission_that_names_an_unknown_database(spark, runner):
     (row,) = runner.run(submissions(spark, submission(type="SQL", code="select * from a.b.c.d"))).collect()
     assert row.state == "FAILED" and row.error_condition and row.error_message
+
+
+def test_runs_may_share_a_status_table(spark, runner):
+    def deliver(i):
+        good = submission(type="SQL", code=f"select {i} as a", resultsPath=f"p{i}")
+        runner.run(submissions(spark, good, "{bad", source_file=f"f{i}"))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(deliver, range(8)))
+    rows = runner.status(spark).collect()
+    assert sorted(r.state for r in rows) == ["OK"] * 8 + ["REJECTED"] * 8
+    assert len({r.submission_id for r in rows}) == 16
