@@ -18,23 +18,38 @@ _MICROSECONDS = {
 }
 
 # Text formats lose data with their defaults: newlines, padding, empty text against null, and all below a millisecond.
-# With these options a result reads back as it was, except that text equal to \N becomes null in CSV.
-WRITE_OPTIONS: dict[str, dict[str, str]] = {
+# With these options a result reads back as it was.
+_OPTIONS: dict[str | None, dict[str, str]] = {
     "csv": {
         "escape": '"',
-        "nullValue": r"\N",
+        "lineSep": "\n",
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
         **_MICROSECONDS,
     },
     "json": dict(_MICROSECONDS),
-    "xml": {"rowTag": "row", "nullValue": r"\N", "ignoreSurroundingSpaces": "false", **_MICROSECONDS},
-}
-READ_OPTIONS: dict[str, dict[str, str]] = {
-    **WRITE_OPTIONS,
-    "csv": {**WRITE_OPTIONS["csv"], "multiLine": "true"},
+    "xml": {"rowTag": "row", "ignoreSurroundingSpaces": "false", **_MICROSECONDS},
 }
 
+
+def write_options(result_format: str | None, columns: int) -> dict[str, str]:
+    options = dict(_OPTIONS.get(result_format, {}))
+    if result_format == "csv" and columns == 1:
+        # A null is an empty field, and a line that is empty is skipped. So a lone column marks its nulls, and text
+        # equal to the mark is the one thing that does not come back.
+        options["nullValue"] = r"\N"
+    return options
+
+
+def read_options(result_format: str | None, columns: int) -> dict[str, str]:
+    options = write_options(result_format, columns)
+    if result_format == "csv":
+        options["multiLine"] = "true"
+        # Spark reads an empty field as this text and this text as null. No text in the data is equal to a new UUID.
+        options.setdefault("nullValue", uuid.uuid4().hex)
+    return options
+
+
 _swap_lock = threading.Lock()
 
 
@@ -94,7 +109,7 @@ def write_result(
     if result_format:
         writer = writer.format(result_format)
     try:
-        writer.options(**WRITE_OPTIONS.get(result_format or "", {}), **(options or {})).save(folder.staging)
+        writer.options(**{**write_options(result_format, len(df.columns)), **(options or {})}).save(folder.staging)
         folder.swap()
     except Exception:
         folder.discard_staging()
@@ -107,11 +122,12 @@ def read_result(
 ) -> DataFrame:
     """Read what `write_result` wrote. Text formats need the ``schema`` the result had."""
     _Folder(spark, path).restore()
-    reader = spark.read.options(**READ_OPTIONS.get(result_format or "", {}))
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.options(**read_options(result_format, len(fields or ())))
     if result_format:
         reader = reader.format(result_format)
-    if schema is not None:
-        reader = reader.schema(schema)
+    if fields is not None:
+        reader = reader.schema(fields)
     return reader.load(path)
 
 

@@ -12,6 +12,7 @@ from slipway.session import open_session
 TRICKY = [
     (1, ""), (2, None), (3, " x "), (4, 'a"b'), (5, "l1\nl2"), (6, '"'), (7, "a\\"), (8, ","),
     (9, "\r\n"), (10, " "), (11, "<a>&amp;"), (12, "\n"),
+    (13, "\\N"), (14, '""'), (15, "null"), (16, "#c"), (17, "\r"), (18, "a\r\nb\rc\n"), (19, "\x00"),
 ]
 
 
@@ -32,11 +33,31 @@ def test_round_trip(spark, table, tmp_path, name, result_format):
 
 @pytest.mark.parametrize("result_format", ["csv", "json", "orc", "parquet", "xml"])
 def test_tricky_text(spark, tmp_path, result_format):
-    df = spark.createDataFrame(TRICKY, "i int, s string")
+    # XML has no way to write the character NUL.
+    rows = [row for row in TRICKY if (row[1], result_format) != ("\x00", "xml")]
+    df = spark.createDataFrame(rows, "i int, s string")
+    # In one file, and each row in a file of its own.
+    for parts in (1, len(TRICKY)):
+        write_result(df.repartition(parts), str(tmp_path / "out"), result_format)
+        assert_same(df, read_result(spark, str(tmp_path / "out"), result_format, df.schema))
+
+
+@pytest.mark.parametrize("result_format", ["csv", "json", "orc", "parquet", "xml"])
+def test_tricky_text_alone(spark, tmp_path, result_format):
+    rows = [(s,) for _, s in TRICKY if (s, result_format) not in (("\\N", "csv"), ("\x00", "xml"))]
+    df = spark.createDataFrame(rows, "s string")
     write_result(df, str(tmp_path / "out"), result_format)
     assert_same(df, read_result(spark, str(tmp_path / "out"), result_format, df.schema))
 
 
+@pytest.mark.parametrize("result_format", ["csv", "json", "orc", "parquet", "xml"])
+def test_missing_values(spark, tmp_path, result_format):
+    rows = [(None, None, None), (1, None, ""), (None, 2.5, None), (3, 4.5, "x")]
+    df = spark.createDataFrame(rows, "i int, d double, s string")
+    write_result(df, str(tmp_path / "out"), result_format)
+    assert_same(df, read_result(spark, str(tmp_path / "out"), result_format, "i int, d double, s string"))
+
+
 @pytest.mark.parametrize("result_format", ["csv", "json", "orc", "parquet"])
 def test_microseconds(spark, tmp_path, result_format):
     df = spark.sql(
