@@ -169,7 +169,9 @@ class Scorer:
 
 
 def fit_scorer(rows: list[tuple[list[int], list[float], float]], rounds: int = FIT_ROUNDS) -> Scorer:
-    """Logistic regression on (buckets, shares, probability of good), both kinds weighing the same in all."""
+    """Logistic regression on (buckets, shares, probability of good), both kinds weighing the same in all. No rows: all score 1/2."""
+    if not rows:
+        return Scorer(np.zeros(BUCKETS), 0.0)
     matrix = np.zeros((len(rows), BUCKETS), np.float32)
     for row, (buckets, shares, _) in zip(matrix, rows, strict=True):
         row[buckets] = shares

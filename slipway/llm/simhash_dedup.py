@@ -52,6 +52,11 @@ def fingerprints(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "id long, fingerprint long")
 
 
+def _dealt(nodes: DataFrame) -> DataFrame:
+    """Fingerprints are small and their variants many, so the files that hold them would make too few tasks."""
+    return nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fingerprint")
+
+
 def _variants(nodes: DataFrame) -> DataFrame:
     """For either half of the fingerprint and each of its 32 bits: the half without that bit.
 
@@ -61,7 +66,7 @@ def _variants(nodes: DataFrame) -> DataFrame:
         F.col("fingerprint").bitwiseAND(F.lit(_HALF)), F.shiftrightunsigned("fingerprint", 32)
     )
     place = F.explode(F.sequence(F.lit(0), F.lit(63))).alias("place")
-    spread = nodes.select("fingerprint", "label", halves.alias("halves"), place)
+    spread = _dealt(nodes).select("fingerprint", "label", halves.alias("halves"), place)
     half = F.element_at("halves", (F.col("place") / 32).cast("int") + 1)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("place", F.lit(32)))
     return spread.select("place", half.bitwiseAND(F.bitwise_not(bit)).alias("value"), "fingerprint", "label")
@@ -70,7 +75,7 @@ def _variants(nodes: DataFrame) -> DataFrame:
 def _one_bit_links(nodes: DataFrame) -> DataFrame:
     """Fingerprints that differ in one bit: without it they are equal, and no third one is."""
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place"))
-    spread = nodes.select("fingerprint", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("place"))
+    spread = _dealt(nodes).select("fingerprint", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("place"))
     return (
         spread.groupBy("place", F.col("fingerprint").bitwiseAND(F.bitwise_not(bit)).alias("rest"))
         .agg(F.min("fingerprint").alias("a"), F.max("fingerprint").alias("b"))
@@ -161,4 +166,4 @@ def one_of_each(table: DataFrame, id_column: str = "doc_id", text_column: str =
     """
     found = near_duplicates(table, id_column, text_column)
     gone = found.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("_gone")).distinct()
-    return table.join(gone, table[id_column] == F.col("_gone"), "left_anti")
+    return table.join(gone, table[id_column] == gone["_gone"], "left_anti")
