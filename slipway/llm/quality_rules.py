@@ -190,14 +190,14 @@ def quality_rules(table: DataFrame) -> DataFrame:
 def kept_by_quality(table: DataFrame) -> DataFrame:
     """The rows of ``table`` that ``quality_rules`` keeps, with their own columns.
 
-    The texts are measured twice, once for the thresholds and once to be judged, so that none is shuffled.
+    The texts are measured twice, once for the thresholds and once to be judged, so that none is shuffled. The row
+    number keeps the filter above the counts; below them, it would hold the counting itself, many times over.
     """
     own = table.columns
     limits = stored(thresholds(sketches(measured(table.select("text", "lang", "source")))), "thresholds")
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
     keyed = table.select(F.struct(*(table[name] for name in own)).alias("_row"), "text", "lang", "source")
-    judged = _judged(measured(keyed), limits)
-    return judged.where("kept").drop(*counts).select("_row.*")
+    judged = _judged(measured(keyed).withColumn("_number", F.monotonically_increasing_id()), limits)
+    return judged.where("kept").select("_row.*")
 
 
 QUALITY_ORACLE = rf"""
