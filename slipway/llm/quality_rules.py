@@ -197,7 +197,7 @@ def kept_by_quality(table: DataFrame) -> DataFrame:
     limits = stored(thresholds(sketches(measured(table.select("text", "lang", "source")))), "thresholds")
     keyed = table.select(F.struct(*(table[name] for name in own)).alias("_row"), "text", "lang", "source")
     judged = _judged(measured(keyed).withColumn("_number", F.monotonically_increasing_id()), limits)
-    return judged.where("kept").select("_row.*")
+    return judged.where("kept and _number >= 0").select("_row.*")
 
 
 QUALITY_ORACLE = rf"""
