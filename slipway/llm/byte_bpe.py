@@ -20,7 +20,7 @@ from slipway.llm.frames import identified_texts, slices
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # Stretches of text that a Python worker remembers; beyond that it keeps those that the texts at hand need.
-MOST_KNOWN = 600_000
+MOST_KNOWN = 350_000
 # Words beyond so many bytes contract all places of a pair at once, where that gives the same.
 LONG_WORD = 128
 
@@ -104,7 +104,7 @@ class Codec:
 
     def __post_init__(self) -> None:
         # Tables of one task are small; one thread, as Spark runs one task per core.
-        self.database = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.database = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         splits = [
             (left, right, rank)
             for token, rank in self.ranks.items()
