@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
@@ -26,17 +27,19 @@ def mean_by(df: DataFrame, key: str, value: str) -> DataFrame:
     """Mean of ``value`` per ``key``, with the summing in Python.
 
     Each batch is summed where it is read, so only one small row per batch and key is shuffled and a frequent key
-    never meets in one task.
+    never meets in one task. Keys stay as they are, also null and large ones. A key without values has a null mean.
     """
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = batch.groupby(key, dropna=False)[value].agg(["sum", "count"])
-            yield sums.reset_index()
-
-    kind = df.schema[key].dataType.simpleString()
-    partials = df.select(key, value).mapInPandas(partial, f"`{key}` {kind}, sum double, count bigint")
-    return partials.groupBy(key).agg((F.sum("sum") / F.sum("count")).alias("mean"))
+            sums = pa.Table.from_batches([batch]).group_by("key").aggregate([("value", "sum"), ("value", "count")])
+            yield from sums.select(["key", "value_sum", "value_count"]).to_batches()
+
+    plain = df.select(F.col(key).alias("key"), F.col(value).cast("double").alias("value"))
+    kind = plain.schema["key"].dataType.simpleString()
+    partials = plain.mapInArrow(partial, f"key {kind}, value_sum double, value_count bigint")
+    mean = F.try_divide(F.sum("value_sum"), F.sum("value_count"))
+    return partials.groupBy(F.col("key").alias(key)).agg(mean.alias("mean"))
 
 
 def register_lines(session: SparkSession, name: str = "lines") -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from slipway.functions.columns import column
 from slipway.operators.positions import with_row_index
+from slipway.operators.sinks import MICROSECONDS, PADDING
 
 
 class ResultTooLarge(Exception):
@@ -17,13 +18,13 @@ class ResultTooLarge(Exception):
 
 
 def render_json(df: DataFrame) -> DataFrame:
-    """One JSON object per row; null fields are left out."""
-    return df.select(F.to_json(F.struct("*")).alias("value"))
+    """One JSON object per row; null fields are left out, times have microseconds."""
+    return df.select(F.to_json(F.struct("*"), MICROSECONDS).alias("value"))
 
 
 def render_csv(df: DataFrame) -> DataFrame:
-    """One CSV line per row."""
-    return df.select(F.to_csv(F.struct("*")).alias("value"))
+    """One CSV line per row, with microseconds and with the spaces around texts."""
+    return df.select(F.to_csv(F.struct("*"), {**MICROSECONDS, **PADDING}).alias("value"))
 
 
 def render_rows(df: DataFrame) -> DataFrame:

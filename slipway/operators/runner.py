@@ -19,7 +19,7 @@ from slipway.operators.execute import JobRegistry, run_sql
 from slipway.operators.render import render
 from slipway.operators.sinks import resolve_path, write_result
 from slipway.operators.status import (
-    ACCEPTED_SUFFIX, PARSE_FAILURE, SUBMIT_FAILURE, accepted, append_status, append_status_rows, status_table,
+    ACCEPTED_SUFFIX, PARSE_FAILURE, SUBMIT_FAILURE, accepted, append_status_if_any, append_status_rows, status_table,
 )
 from slipway.session import Setup, open_session, remove, settings_of, size_shuffles, work_path
 
@@ -101,7 +101,7 @@ class Runner:
             F.when(is_rejected, PARSE_FAILURE).otherwise(accepted(F.col("type"))).alias("response"),
         )
         with ThreadPoolExecutor(1) as recorder:
-            recorded = recorder.submit(append_status, outcomes, self.status_path)
+            recorded = recorder.submit(append_status_if_any, outcomes, self.status_path)
             self._run_all(spark, routed.filter(~is_rejected & (F.col("route") != "unsupported")), settings)
             recorded.result()
 
@@ -160,7 +160,7 @@ class Runner:
             path, submission.resultFormat, submission.deliveries, started, datetime.now(timezone.utc),
         )
 
-    def _execute(self, spark: SparkSession, settings: Mapping[str, str], submission: Row) -> str:
+    def _execute(self, spark: SparkSession, settings: Mapping[str, str], submission: Row) -> str | None:
         if submission.inline:
             path = self.inline_path(submission.submission_id)
         else:
@@ -170,6 +170,8 @@ class Runner:
             result = run_sql(session, submission.program, submission.arguments)
         else:
             result = self.jobs.run(session, submission.program, submission.arguments, submission.environment)
+        if not result.columns and not submission.inline:
+            return None  # the work is done, as that of an insert, and there is nothing to store
         size_shuffles(result)
         if submission.inline:
             write_result(render(result, submission.resultFormat), path, "text")

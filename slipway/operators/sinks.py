@@ -12,23 +12,24 @@ from pyspark.sql.types import StructType
 
 from slipway.session import file_path, file_system
 
-_MICROSECONDS = {
+MICROSECONDS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
 
+PADDING = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 # Text formats lose data with their defaults: newlines, padding, empty text against null, and all below a millisecond.
 # With these options a result reads back as it was.
 _OPTIONS: dict[str | None, dict[str, str]] = {
     "csv": {
         "escape": '"',
         "lineSep": "\n",
-        "ignoreLeadingWhiteSpace": "false",
-        "ignoreTrailingWhiteSpace": "false",
-        **_MICROSECONDS,
+        **PADDING,
+        **MICROSECONDS,
     },
-    "json": dict(_MICROSECONDS),
-    "xml": {"rowTag": "row", "ignoreSurroundingSpaces": "false", **_MICROSECONDS},
+    "json": dict(MICROSECONDS),
+    "xml": {"rowTag": "row", "ignoreSurroundingSpaces": "false", **MICROSECONDS},
 }
 
 
@@ -50,7 +51,7 @@ def read_options(result_format: str | None, columns: int) -> dict[str, str]:
     return options
 
 
-_swap_lock = threading.Lock()
+_swap_locks: dict[str, threading.Lock] = {}
 
 
 class _Folder:
@@ -63,6 +64,8 @@ class _Folder:
         self._target = self._fs.makeQualified(target)
         self._old = self._sibling("_old")
         self._staging = self._sibling(f"_staging-{uuid.uuid4().hex}")
+        # One for each target: a rename that copies, as on object stores, holds up no other result.
+        self._lock = _swap_locks.setdefault(self._target.toString(), threading.Lock())
 
     def _sibling(self, suffix: str) -> Any:
         return self._path_class(self._target.getParent(), f".{self._target.getName()}.{suffix}")
@@ -73,7 +76,7 @@ class _Folder:
 
     def restore(self) -> None:
         """Undo a swap that stopped between its two renames."""
-        with _swap_lock:
+        with self._lock:
             if self._fs.exists(self._old) and not self._fs.exists(self._target):
                 self._fs.rename(self._old, self._target)
 
@@ -81,7 +84,7 @@ class _Folder:
         self._fs.delete(self._staging, True)
 
     def swap(self) -> None:
-        with _swap_lock:
+        with self._lock:
             if self._fs.exists(self._target):
                 self._fs.delete(self._old, True)
                 self._rename(self._target, self._old)

@@ -42,6 +42,12 @@ def append_status(df: DataFrame, path: str) -> None:
     df.select(*columns).write.parquet(f"{path}/{uuid.uuid4().hex}")
 
 
+def append_status_if_any(df: DataFrame, path: str) -> None:
+    """The same, without a folder for no rows."""
+    if not df.isEmpty():
+        append_status(df, path)
+
+
 def append_status_rows(spark: SparkSession, rows: Iterable[tuple], path: str) -> None:
     schema = to_arrow_schema(StructType.fromDDL(STATUS_DDL))
     records = [dict(zip(schema.names, row, strict=True)) for row in rows]

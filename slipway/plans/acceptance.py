@@ -347,16 +347,20 @@ ACCEPTANCE: dict[str, Query] = {
     ),
     "sql_session": Query(
         "events",
-        """select user_id, session_window.start as ss, count(*) as n
-           from events group by user_id, session_window(ts, '12 hours')""",
+        # Events of one hour are of one session. They are added up before the shuffle, so that a user's rows are bounded
+        # by the calendar, however many events there are.
+        """with hours as (select user_id, date_trunc('HOUR', ts) as hour, min(ts) as lo, max(ts) as hi, count(*) as n
+                         from events group by 1, 2),
+                begun as (select *, case when lo - lag(hi) over (partition by user_id order by hour) < interval '12' hour
+                                         then 0 else 1 end as begins from hours),
+                numbered as (select *, sum(begins) over (partition by user_id order by hour) as session from begun)
+           select user_id, min(lo) as ss, sum(n) as n from numbered group by user_id, session""",
         oracle="""select user_id, min(ts) as ss, count(*) as n
                   from (select *, sum(f) over (partition by user_id order by ts, event_id) as sid
                         from (select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id)
                                                   < interval '12 hours' then 0 else 1 end as f
                               from events))
                   group by user_id, sid""",
-        # Sessions are put together where the rows are read, and only sessions are shuffled.
-        conf={"spark.sql.sessionWindow.merge.sessions.in.local.partition": "true"},
     ),
     # Bound arguments
     "sql_positional_args": Query(

@@ -180,14 +180,14 @@ def _kv_map(spark, folder):
     "inline_ddl_table",
     """select label, count(*) as n, cast(sum(weight) as bigint) as weight
        from events join (values ('click', 1, 'low'), ('view', 0, 'low'), ('purchase', 10, 'high'),
-                                ('signup', 5, 'high')) l(kind, weight, label) on event_type = kind
+                                ('signup', 5, 'high'), ('error', 2, 'low')) l(kind, weight, label) on event_type = kind
        group by label""",
 )
 def _inline_ddl_table(spark, folder):
     """Rows at hand with a declared schema, joined to a table."""
     labels = literal_rows(
         spark,
-        [("click", 1, "low"), ("view", 0, "low"), ("purchase", 10, "high"), ("signup", 5, "high")],
+        [("click", 1, "low"), ("view", 0, "low"), ("purchase", 10, "high"), ("signup", 5, "high"), ("error", 2, "low")],
         "kind string, weight int, label string",
     )
     counts = read_table(spark, folder, "events").groupBy("event_type").agg(F.count("*").alias("n"))
@@ -217,18 +217,17 @@ def _global_temp_view(spark, folder):
 
 @_query(
     "session_isolation",
-    "select role, count(*) as n, cast(sum(length(text)) as bigint) as chars from conversations "
-    "where role in ('user', 'assistant') group by 1",
+    "select role, count(*) as n, cast(sum(length(text)) as bigint) as chars from conversations group by 1",
 )
 def _session_isolation(spark, folder):
-    """Two sessions use one view name for different rows."""
+    """Three sessions use one view name for different rows."""
 
     def totals(role: str) -> DataFrame:
         session = open_session(spark)
         read_table(session, folder, "conversations").filter(F.col("role") == role).createOrReplaceTempView("mine")
         return run_sql(session, "select role, count(*) as n, sum(length(text)) as chars from mine group by role")
 
-    return totals("user").union(totals("assistant"))
+    return totals("user").union(totals("assistant")).union(totals("system"))
 
 
 @_query("row_count", "select count(*) as n from lineitem")
@@ -271,10 +270,11 @@ def _render_json(spark, folder):
 
 @_query(
     "render_csv",
-    "select concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority) as value from orders",
+    "select concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+    "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f'), o_orderpriority) as value from orders",
 )
 def _render_csv(spark, folder):
-    return render_csv(read_table(spark, folder, "orders").drop("o_orderdate"))
+    return render_csv(read_table(spark, folder, "orders"))
 
 
 @_query(
@@ -291,14 +291,15 @@ def _render_rows(spark, folder):
     """with o as (select row_number() over (order by o_orderkey) - 1 as i, * from orders),
             e as (select 'o_orderkey' as "column", i, cast(to_json(o_orderkey) as varchar) as v from o
                   union all select 'o_custkey', i, cast(to_json(o_custkey) as varchar) from o
+                  union all select 'o_orderstatus', i, cast(to_json(o_orderstatus) as varchar) from o
+                  union all select 'o_totalprice', i, cast(to_json(o_totalprice) as varchar) from o
                   union all select 'o_orderpriority', i, cast(to_json(o_orderpriority) as varchar) from o
                   union all select 'o_orderdate', i, cast(epoch_ms(o_orderdate) as varchar) from o)
        select "column", i // 1000 as chunk, '{' || string_agg('"' || i || '":' || v, ',' order by i) || '}' as value
        from e group by 1, 2""",
 )
 def _render_columns(spark, folder):
-    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
-    return render_columns(orders, ["o_orderkey"])
+    return render_columns(read_table(spark, folder, "orders"), ["o_orderkey"])
 
 
 @_query("row_positions", "select event_id, row_number() over (order by user_id, ts, event_id) - 1 as i from events")

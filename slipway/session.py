@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from typing import Any
@@ -52,22 +50,21 @@ def open_session(
     return session
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="slipway-")
+# Where the session's default file system keeps what is not for long.
+DEFAULT_ROOT = "/tmp/slipway"
 
 
 def work_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else one on the default file system.
 
-    Only a local master, where driver and executors are one machine, may fall back to a temporary folder.
+    On a cluster whose default file system is each machine's own, the setting is needed.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_root()
-    raise ValueError("spark.checkpoint.dir must name a folder that all executors can reach")
+    path = file_path(spark, DEFAULT_ROOT)
+    default = spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark.sparkContext._jsc.hadoopConfiguration())
+    return default.makeQualified(path).toString()
 
 
 def work_path(spark: SparkSession, label: str) -> str:

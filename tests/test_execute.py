@@ -121,6 +121,14 @@ def test_mean_by_matches_the_built_in(spark):
     assert all(abs(found[k] - expected[k]) < 1e-9 for k in found)
 
 
+def test_mean_by_of_odd_keys_and_values(spark):
+    rows = [(2**53 + 1, 1.0), (2**53, 3.0), (None, 5.0), (7, None), (8, float("nan"))]
+    found = mean_by(spark.createDataFrame(rows, "k long, v double").coalesce(1), "k", "v").collect()
+    found = {row.k: row["mean"] for row in found}
+    assert found[2**53 + 1] == 1 and found[2**53] == 3 and found[None] == 5 and found[7] is None and found[8] != found[8]
+    assert len(found) == 5
+
+
 def test_lines(spark):
     session = open_session(spark)
     register_lines(session)

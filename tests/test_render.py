@@ -22,7 +22,7 @@ def texts(df):
 
 def test_json(spark):
     assert texts(render_json(spark.sql(ONE_OF_EACH))) == [
-        '{"bool":true,"i":1,"d":1.5,"dec":1.50,"s":"a,\\"b","day":"2024-01-02","t":"2024-01-02T03:04:05.123",'
+        '{"bool":true,"i":1,"d":1.5,"dec":1.50,"s":"a,\\"b","day":"2024-01-02","t":"2024-01-02T03:04:05.123456",'
         '"a":[1,null],"m":{"k":1},"st":{"x":1},"b":"YWI="}'
     ]
 
@@ -32,6 +32,11 @@ def test_csv(spark):
     assert texts(render_csv(scalars)) == ['true,1,1.5,1.50,"a,\\"b",2024-01-02,']
 
 
+def test_csv_keeps_microseconds_and_padding(spark):
+    padded = spark.sql("select timestamp_ntz '2024-01-02 03:04:05.123456' as t, ' p ' as s")
+    assert texts(render_csv(padded)) == ["2024-01-02T03:04:05.123456, p "]
+
+
 def test_rows(spark):
     scalars = spark.sql(ONE_OF_EACH).select("bool", "i", "s", "n", "day")
     assert texts(render_rows(scalars)) == ['["true","1","a,\\"b",null,"2024-01-02"]']

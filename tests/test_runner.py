@@ -179,6 +179,19 @@ def test_statement_without_a_result(spark, runner):
     assert all(spark.read.text(r.results_path).count() == 0 for r in rows if r.state == "OK")
 
 
+def test_statement_without_a_result_but_with_a_path(spark, runner, tmp_path):
+    codes = [
+        f"create table made_here using parquet location '{tmp_path}/made' as select 1 as a",
+        f"insert overwrite directory '{tmp_path}/put' using parquet select 2 as a",
+    ]
+    found = runner.run(submissions(spark, *(submission(type="SQL", code=c, resultsPath="p") for c in codes))).collect()
+    try:
+        assert [(row.state, row.results_path) for row in found] == [("OK", None)] * 2
+        assert spark.read.parquet(f"{tmp_path}/put").collect() == [(2,)]
+    finally:
+        spark.sql("drop table if exists made_here")
+
+
 def test_submission_that_names_an_unknown_database(spark, runner):
     (row,) = runner.run(submissions(spark, submission(type="SQL", code="select * from a.b.c.d"))).collect()
     assert row.state == "FAILED" and row.error_condition and row.error_message
