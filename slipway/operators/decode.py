@@ -35,13 +35,14 @@ case when _keys is null then 'MALFORMED'
 """
 
 # True if a field that takes text, or an element of `arguments` or `environment`, is an object or array. Such a value
-# decodes to its JSON text, so only submissions with a value that begins like one are looked at again.
+# decodes to its JSON text, so only submissions with a value that begins like one are looked at again. If such a
+# submission also repeats a key, which no variant can hold, its values' kinds cannot be told and it is rejected.
 _SUSPECT = rf"""
 coalesce({" or ".join(f"left(_record.{name}, 1) in ('[', '{{')" for name in _TEXT_FIELDS)}, false)
 or concat_ws('\n', '', _record.arguments, map_values(_record.environment)) rlike '\\n[\\[{{]'
 """
 _NESTED = """
-exists(
+try_parse_json({value}) is null or exists(
   concat(array({text}),
          coalesce(try_variant_get(try_parse_json({value}), '$.arguments', 'array<variant>'), array()),
          coalesce(map_values(try_variant_get(try_parse_json({value}), '$.environment', 'map<string,variant>')),
@@ -51,7 +52,7 @@ exists(
 
 _REASON = f"""
 case when _fault is not null then _fault
-     when _record.{_CORRUPT} is not null or case when {_SUSPECT} then {_NESTED} else false end then 'BAD_FIELD_TYPE'
+     when _record.{_CORRUPT} is not null or case when {_SUSPECT} then ({_NESTED}) else false end then 'BAD_FIELD_TYPE'
      when coalesce(_record.type not in {SUBMISSION_TYPES}, true) then 'UNKNOWN_TYPE' end
 """
 
@@ -65,7 +66,8 @@ def decode_submissions(df: DataFrame, value: str = "value") -> DataFrame:
     MALFORMED       not a JSON object
     NOTEBOOK        has the key ``appId``: a request to launch a notebook, see `notebook_requests`
     UNKNOWN_FIELD   a key that submissions do not have
-    BAD_FIELD_TYPE  a value of the wrong kind, such as text for ``arguments``
+    BAD_FIELD_TYPE  a value of the wrong kind, such as text for ``arguments``, or a repeated key in a submission in
+                    which a text begins with a bracket or brace, so that its kind cannot be told
     UNKNOWN_TYPE    ``type`` is absent or not one of the known names
     ==============  ===========================================================================
     """

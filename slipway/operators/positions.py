@@ -12,47 +12,32 @@ from slipway.session import partitions_for, remove, work_path
 
 _LOW_33_BITS = (1 << 33) - 1
 
-# A sort partition of more rows than this, and of several times the average, is filled by copies.
-LARGE_PART_ROWS = 10_000_000
-
 
 def sorted_table(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order_by``, written to the work folder and read back.
 
-    ``_part`` numbers the sort partitions in order and ``_pos`` the rows within each. Spark samples the keys to size
-    the partitions, so a value that many rows share is spread over several partitions as long as the whole of
-    ``order_by`` tells rows apart. Rows it does not tell apart have no order between them; should they fill a
-    partition, the rows are first written with a number each, and sorted again by that as well. Writing the table fixes
-    the split: a later stage or a lost executor cannot see another one.
+    ``_part`` numbers the sort partitions in order and ``_pos`` the rows within each. The rows are first written with a
+    number each, without a shuffle, and sorted by that last. So every row has a place of its own, and a value that many
+    rows share, or a row that has many copies, is spread over several partitions. Both tables fix what they hold: a
+    later stage or a lost executor cannot see another numbering or split. ``order_by`` names columns of ``df``.
     """
     spark = df.sparkSession
-    path = _write_sorted(df, df.columns, order_by)
-    table = spark.read.parquet(path)
-    sizes = table.groupBy("_part").agg(F.count("*").alias("rows"))
-    largest, average = sizes.agg(F.max("rows"), F.avg("rows")).first()
-    if largest is None or largest <= max(LARGE_PART_ROWS, 4 * average):
-        return table
-    remove(spark, path)
     numbered = work_path(spark, "numbered")
     df.select("*", F.monotonically_increasing_id().alias("_copy")).write.parquet(numbered)
-    path = _write_sorted(spark.read.parquet(numbered), df.columns, [*order_by, "_copy"])
-    remove(spark, numbered)
-    return spark.read.parquet(path)
-
-
-def _write_sorted(df: DataFrame, columns: Sequence[str], order_by: Sequence[str | Column]) -> str:
-    path = work_path(df.sparkSession, "sorted")
+    rows = spark.read.parquet(numbered)
+    path = work_path(spark, "sorted")
     (
-        df.repartitionByRange(partitions_for(df), *order_by)
-        .sortWithinPartitions(*order_by)
+        rows.repartitionByRange(partitions_for(rows), *order_by, "_copy")
+        .sortWithinPartitions(*order_by, "_copy")
         .select(
-            *[column(name) for name in columns],
+            *[column(name) for name in df.columns],
             F.spark_partition_id().alias("_part"),
             F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_33_BITS)).alias("_pos"),
         )
         .write.parquet(path)
     )
-    return path
+    remove(spark, numbered)
+    return spark.read.parquet(path)
 
 
 def with_row_index(df: DataFrame, order_by: Sequence[str | Column], name: str = "row_index") -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,10 +13,6 @@ from slipway.operators.positions import with_row_index
 from slipway.operators.sinks import MICROSECONDS, PADDING
 
 
-class ResultTooLarge(Exception):
-    """An inline result has more rows than the caller is ready to hold."""
-
-
 def render_json(df: DataFrame) -> DataFrame:
     """One JSON object per row; null fields are left out, times have microseconds."""
     return df.select(F.to_json(F.struct("*"), MICROSECONDS).alias("value"))
@@ -43,7 +39,7 @@ def render_columns(df: DataFrame, order_by: Sequence[str | Column], chunk_rows:
     """Column-oriented JSON, ``{"0": v, "1": v, …}`` per column, with rows numbered in the order of ``order_by``.
 
     A column's text grows with the table, so it comes in pieces: each row of the result holds the entries of
-    ``chunk_rows`` consecutive rows of one column as an object. `columns_document` puts a small result together.
+    ``chunk_rows`` consecutive rows of one column as an object. `columns_document` puts them together.
     """
     if len(set(df.columns)) != len(df.columns):
         raise ValueError("column names must be unique")
@@ -83,28 +79,41 @@ def render(df: DataFrame, result_format: str | None) -> DataFrame:
     return render_rows(df)
 
 
-def inline_body(df: DataFrame, result_format: str | None = "json", max_rows: int = 10_000) -> str:
-    """A small result as the body of one answer; raises `ResultTooLarge` beyond ``max_rows``.
+def body_of(rows: Iterable[str], result_format: str | None) -> Iterator[str]:
+    """The body of one answer from rendered rows, in pieces, of which none is longer than a row and its separator.
 
-    JSON results are an array of JSON texts, CSV results are lines, all others an array of arrays. Larger results
-    belong in a path, or in `render`'s column.
+    JSON results are an array of JSON texts, CSV results are lines, all others an array of arrays.
     """
-    rows = [row.value for row in render(df, result_format).limit(max_rows + 1).collect()]
-    if len(rows) > max_rows:
-        raise ResultTooLarge(f"the result has more than {max_rows} rows; give it a path instead")
-    if result_format == "csv":
-        return "\n".join(rows)
-    if result_format is None or result_format == "json":
-        return json.dumps(rows, ensure_ascii=False)
-    return "[" + ",".join(rows) + "]"
-
-
-def columns_document(df: DataFrame, order_by: Sequence[str | Column], max_rows: int = 10_000) -> str:
-    """A small result as one column-oriented JSON document; raises `ResultTooLarge` beyond ``max_rows``."""
-    if len(df.limit(max_rows + 1).select(F.lit(1)).collect()) > max_rows:
-        raise ResultTooLarge(f"the result has more than {max_rows} rows; give it a path instead")
-    pieces = render_columns(df, order_by).orderBy("column", "chunk").collect()
-    texts = {name: [] for name in df.columns}
-    for piece in pieces:
-        texts[piece["column"]].append(piece["value"][1:-1])
-    return "{" + ",".join(f"{json.dumps(name)}:{{{','.join(parts)}}}" for name, parts in texts.items()) + "}"
+    as_lines, as_texts = result_format == "csv", result_format is None or result_format == "json"
+    if not as_lines:
+        yield "["
+    between = ""
+    for row in rows:
+        yield between + (json.dumps(row, ensure_ascii=False) if as_texts else row)
+        between = "\n" if as_lines else ","
+    if not as_lines:
+        yield "]"
+
+
+def inline_body(df: DataFrame, result_format: str | None = "json") -> Iterator[str]:
+    """``df`` as the body of one answer, in pieces, see `body_of`. The driver holds one partition at a time."""
+    return body_of((row.value for row in render(df, result_format).toLocalIterator()), result_format)
+
+
+def columns_document(df: DataFrame, order_by: Sequence[str | Column]) -> Iterator[str]:
+    """``df`` as one column-oriented JSON document, in pieces; the query runs once, the driver holds one partition."""
+    places = F.create_map(*(F.lit(item) for place, name in enumerate(df.columns) for item in (name, place)))
+    pieces = render_columns(df, order_by).withColumn("place", F.element_at(places, F.col("column")))
+    here = -1
+    yield "{"
+    for piece in pieces.orderBy("place", "chunk").toLocalIterator():
+        if piece["place"] != here:
+            here = piece["place"]
+            yield f'{"" if here == 0 else "},"}{json.dumps(piece["column"])}:{{'
+        else:
+            yield ","
+        yield piece["value"][1:-1]
+    if here < 0:
+        yield ",".join(f"{json.dumps(name)}:{{}}" for name in df.columns) + "}"
+    else:
+        yield "}}"

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from slipway.operators.decode import decode_submissions, route_submissions, submission_id
 from slipway.operators.execute import JobRegistry, run_sql
-from slipway.operators.render import render
+from slipway.operators.render import body_of, render
 from slipway.operators.sinks import resolve_path, write_result
 from slipway.operators.status import (
     ACCEPTED_SUFFIX, PARSE_FAILURE, SUBMIT_FAILURE, accepted, append_status_if_any, append_status_rows, status_table,
@@ -67,6 +67,26 @@ class Runner:
     def status(self, spark: SparkSession) -> DataFrame:
         return status_table(spark, self.status_path)
 
+    def answer_rows(self, spark: SparkSession, submission: str) -> DataFrame:
+        """The rendered rows, ``value``, of a result without a path, in the result's own order.
+
+        Files are numbered in the order of the result's partitions, and lines stand in theirs.
+        """
+        lines = spark.read.option("lineSep", "\n").text(self.inline_path(submission)).select(
+            "value", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_line"),
+        )
+        return lines.orderBy("_file", "_block", "_line").select("value")
+
+    def answer(self, spark: SparkSession, submission: str) -> Iterator[str]:
+        """The body of the answer to a submission whose result has no path, in pieces; `LookupError` if there is none."""
+        known = self.status(spark).where((F.col("submission_id") == submission) & (F.col("state") == "OK"))
+        row = known.select("results_path", "result_format").first()
+        if row is None or row.results_path != self.inline_path(submission):
+            raise LookupError(f"no inline result of submission {submission!r}")
+        rows = self.answer_rows(spark, submission).toLocalIterator()
+        return body_of((row.value for row in rows), row.result_format)
+
     def run(self, submissions: DataFrame, parent: SparkSession | None = None) -> DataFrame:
         """Run the rows of ``submissions`` (``value``, and ``source_file`` if known) and return the status table.
 

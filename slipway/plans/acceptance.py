@@ -264,11 +264,14 @@ ACCEPTANCE: dict[str, Query] = {
     "sql_recursive": Query(
         "orders",
         """with recursive per_year as (select year(o_orderdate) as oy, count(*) as n from orders group by 1),
-                years(y, last_year) as (
-             select min(oy) - 1, max(oy) + 1 from per_year
+                sides as (select 0 as side union all select 1 as side),
+                spans(lo, hi) as (
+             select cast(min(oy) - 1 as int), cast(max(oy) + 1 as int) from per_year
              union all
-             select y + 1, last_year from years where y < last_year)
-           select cast(y as int) as y, coalesce(n, 0) as n from years left join per_year on y = oy""",
+             select cast(case when side = 0 then lo else floor((lo + hi) / 2.0) + 1 end as int),
+                    cast(case when side = 0 then floor((lo + hi) / 2.0) else hi end as int)
+             from spans join sides on lo < hi)
+           select lo as y, coalesce(n, 0) as n from spans left join per_year on lo = oy where lo = hi""",
     ),
     # Functions
     "sql_string": Query(

@@ -22,7 +22,7 @@ from slipway.plans.tables import read_table, views
 from slipway.session import open_session, work_path
 from slipway.sources.submissions import read_submissions
 from slipway.streaming.submissions import stream_submissions as start_stream
-from slipway.streaming.windows import append_closed, tumbling_counts, write_latest
+from slipway.streaming.windows import append_closed, distinct_events, tumbling_counts, write_latest
 
 
 @dataclass(frozen=True)
@@ -471,6 +471,35 @@ def _inline_results(spark, folder):
     )
 
 
+@_query(
+    "inline_answer",
+    """select row_number() over (order by o_totalprice desc, o_orderkey) - 1 as i, o_orderkey || ',' || o_custkey as value
+       from orders""",
+)
+def _inline_answer(spark, folder):
+    """The answer to a submission without a path, in the order that its query asks for."""
+    runner = _runner(spark, folder, "orders")
+    code = "select o_orderkey, o_custkey from orders order by o_totalprice desc, o_orderkey"
+    submission = _json(type=F.lit("SQL"), code=F.lit(code), resultFormat=F.lit("csv"))
+    status = runner.run(spark.range(1).select(submission.alias("value")))
+    rows = runner.answer_rows(spark, status.first()["submission_id"])
+    return with_row_index(rows.withColumn("at", F.monotonically_increasing_id()), ["at"], "i").select("i", "value")
+
+
+@_query("read_submissions", "select doc_id, text as code, true as has_file from documents")
+def _read_submissions(spark, folder):
+    """Submissions of a whole table, written as files and read from there."""
+    inbox = work_path(spark, "inbox")
+    number = F.col("doc_id").cast("string")
+    read_table(spark, folder, "documents").select(
+        _json(type=F.lit("SQL"), code=F.col("text"), arguments=F.array(number))
+    ).write.text(inbox)
+    read = decode_submissions(read_submissions(spark, inbox))
+    return valid_submissions(read).select(
+        F.col("arguments")[0].cast("bigint").alias("doc_id"), "code", F.contains("source_file", F.lit("inbox-")).alias("has_file")
+    )
+
+
 @_query(
     "submission_status",
     """select event_type as label, case event_type when 'click' then 'OK' when 'view' then 'FAILED'
@@ -517,7 +546,7 @@ def _event_stream(spark, folder) -> DataFrame:
     """Events as a stream; watermarks need ``timestamp``, so the wall-clock time is cast."""
     # As a pattern, so that the table may be one file or a folder of files.
     events = spark.readStream.schema(read_table(spark, folder, "events").schema).parquet(f"{folder}/events.parque[t]")
-    return events.select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    return events.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "event_id")
 
 
 @_query(
@@ -548,3 +577,15 @@ def _stream_watermark(spark, folder):
     flat = counts.select(F.col("window.start").cast("timestamp_ntz").alias("ws"), "event_type", "n")
     append_closed(flat, path, checkpoint).awaitTermination()
     return session.read.schema(flat.schema).parquet(path)
+
+
+@_query("stream_dedup", "select event_id, event_type, ts from events")
+def _stream_dedup(spark, folder):
+    """Every event is delivered twice and comes out once."""
+    session = open_session(spark, {"spark.sql.session.timeZone": "UTC"})
+    path, checkpoint = work_path(spark, "events"), work_path(spark, "checkpoint")
+    delivered = _event_stream(session, folder).union(_event_stream(session, folder))
+    once = distinct_events(delivered, "ts", ["event_id"], "1 hour")
+    flat = once.select("event_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    append_closed(flat, path, checkpoint).awaitTermination()
+    return session.read.schema(flat.schema).parquet(path)

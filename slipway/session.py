@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 Setup = Callable[[SparkSession], None]
 
-# Stored input bytes per shuffle partition. Beyond the largest number the blocks between all map and reduce tasks cost
-# more than larger partitions do: those spill, and 100 TB still come to 5 GB each.
+# Stored input bytes per shuffle partition, unless the session sets PARTITION_SETTING. For very large inputs a larger
+# size is worth setting: the blocks between all map and reduce tasks grow with the square of their number.
 PARTITION_BYTES = 128 << 20
-MOST_PARTITIONS = 20_000
+PARTITION_SETTING = "spark.slipway.partitionBytes"
 # Spark takes a size it does not know for the largest number there is.
 UNKNOWN_BYTES = 1 << 60
 
@@ -75,13 +75,15 @@ def work_path(spark: SparkSession, label: str) -> str:
 def partitions_for(df: DataFrame) -> int:
     """How many shuffle partitions the data that ``df`` reads calls for; never fewer than its session is set to.
 
-    Sources whose size Spark does not know, such as rows from the driver, do not count.
+    It grows with the input, one partition for each ``spark.slipway.partitionBytes`` bytes. Sources whose size Spark does
+    not know, such as rows from the driver, do not count.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     read = sum(size for size in sizes if size < UNKNOWN_BYTES)
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(default, min(-(-read // PARTITION_BYTES), MOST_PARTITIONS))
+    size = int(df.sparkSession.conf.get(PARTITION_SETTING, str(PARTITION_BYTES)))
+    return max(default, -(-read // size))
 
 
 def size_shuffles(df: DataFrame) -> DataFrame:

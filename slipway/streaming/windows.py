@@ -18,6 +18,11 @@ def tumbling_counts(
     return events.groupBy(F.window(time, width), *keys).agg(F.count("*").alias("n"))
 
 
+def distinct_events(events: DataFrame, time: str, keys: list[str], lateness: str) -> DataFrame:
+    """Each event once, if its copies arrive within ``lateness`` of it; what is kept of an event goes after that."""
+    return events.withWatermark(time, lateness).dropDuplicatesWithinWatermark(keys)
+
+
 def write_latest(result: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Keep ``path`` at the complete result of a streaming aggregation, until the input that is there is used up."""
     return (

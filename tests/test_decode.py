@@ -18,8 +18,15 @@ CASES = [
     ('{"type":"SQL","code":5,"arguments":[1,"b"],"environment":{}}', None),
     ('{"type":"SQL","code":null,"arguments":null,"environment":null}', None),
     ('{"type":"SQL","code":"OBJECT<a: ARRAY<b>>","environment":{"arguments":"x"}}', None),
+    ('{"type":"SQL","code":"{a"}', None),
     ('{"type":"sql","code":"x"}', "UNKNOWN_TYPE"),
     ('{"type":5,"code":"x"}', "UNKNOWN_TYPE"),
+    ('{"type":"SQL","code":"a","code":{"b":1}}', "BAD_FIELD_TYPE"),
+    ('{"type":"SQL","code":{"b":1,"b":2}}', "BAD_FIELD_TYPE"),
+    ('{"type":"SQL","code":"a","arguments":[["q"]],"arguments":[["q"]]}', "BAD_FIELD_TYPE"),
+    ('{"type":"SQL","arguments":[{"b":1,"b":2}]}', "BAD_FIELD_TYPE"),
+    ('{"type":"SQL","environment":{"k":{"a":1,"a":1}}}', "BAD_FIELD_TYPE"),
+    ('{"type":"SQL","code":"a","arguments":["[q"],"environment":{"k":"{a"}}', None),
     ("{}", "UNKNOWN_TYPE"),
     ('{"type":"SQL","resultPath":"p"}', "UNKNOWN_FIELD"),
     ('{"type":"SQL","arguments":"a"}', "BAD_FIELD_TYPE"),

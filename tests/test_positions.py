@@ -34,9 +34,8 @@ def test_copies_are_all_numbered(spark):
     assert with_row_index(df.limit(0), ["k"]).count() == 0
 
 
-def test_copies_that_fill_a_partition_are_spread(spark, monkeypatch):
+def test_copies_that_fill_a_partition_are_spread(spark):
     df = split_session(spark).range(30_000).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"))
-    monkeypatch.setattr("slipway.operators.positions.LARGE_PART_ROWS", 100)
     sizes = [r["count"] for r in sorted_table(df, ["k"]).groupBy("_part").count().collect()]
     assert sum(sizes) == 30_000 and max(sizes) < 5_000
     rows = with_row_index(df, ["k"]).orderBy("row_index").collect()

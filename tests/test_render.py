@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slipway.operators.render import (
-    ResultTooLarge, columns_document, inline_body, render, render_columns, render_csv, render_json, render_rows,
+    columns_document, inline_body, render, render_columns, render_csv, render_json, render_rows,
 )
 
 ONE_OF_EACH = """
@@ -56,21 +56,29 @@ def test_statement_without_columns(spark):
         assert render(nothing.limit(0), name).columns == ["value"]
 
 
+def body(pieces):
+    return "".join(pieces)
+
+
 def test_inline_body(spark):
     df = spark.range(2).select("id", F.lit("ü").alias("s"))
-    assert json.loads(inline_body(df)) == ['{"id":0,"s":"ü"}', '{"id":1,"s":"ü"}']
-    assert inline_body(df, None) == inline_body(df, "json")
-    assert inline_body(df, "csv") == "0,ü\n1,ü"
-    assert json.loads(inline_body(df, "rows")) == [["0", "ü"], ["1", "ü"]]
-    assert inline_body(df.limit(0)) == "[]"
+    assert json.loads(body(inline_body(df))) == ['{"id":0,"s":"ü"}', '{"id":1,"s":"ü"}']
+    assert body(inline_body(df, None)) == body(inline_body(df, "json"))
+    assert body(inline_body(df, "csv")) == "0,ü\n1,ü"
+    assert json.loads(body(inline_body(df, "rows"))) == [["0", "ü"], ["1", "ü"]]
+    assert body(inline_body(df.limit(0))) == "[]"
+    assert body(inline_body(df.limit(0), "csv")) == ""
 
 
-def test_inline_body_is_whole_or_refused(spark):
-    assert len(json.loads(inline_body(spark.range(10), max_rows=10))) == 10
-    with pytest.raises(ResultTooLarge):
-        inline_body(spark.range(11), max_rows=10)
-    with pytest.raises(ResultTooLarge):
-        columns_document(spark.range(11), ["id"], max_rows=10)
+def test_bodies_are_whole_and_come_in_small_pieces(spark):
+    df = spark.range(25_000)
+    pieces = [*inline_body(df, "rows")]
+    assert max(map(len, pieces)) < 20
+    assert json.loads(body(pieces)) == [[str(i)] for i in range(25_000)]
+    pieces = [*columns_document(df, ["id"])]
+    assert max(map(len, pieces)) < 20_000
+    assert json.loads(body(pieces)) == {"id": {str(i): i for i in range(25_000)}}
+    assert json.loads(body(columns_document(df.select("id", F.lit(1).alias("x")).limit(0), ["id"]))) == {"id": {}, "x": {}}
 
 
 def test_columns_document_is_what_a_data_frame_writes(spark):
@@ -81,12 +89,12 @@ def test_columns_document_is_what_a_data_frame_writes(spark):
     ]
     df = spark.createDataFrame(rows, "k int, s string, d double, t timestamp_ntz, b boolean, day date")
     expected = json.loads(df.orderBy("k").toPandas().to_json())
-    assert json.loads(columns_document(df, ["k"])) == expected
+    assert json.loads(body(columns_document(df, ["k"]))) == expected
 
 
 def test_columns_with_a_session_time_zone(spark):
     df = spark.sql("select 1 as k, timestamp '2024-01-02 03:04:05.678Z' as t, cast(1.25 as decimal(5, 2)) as d")
-    assert json.loads(columns_document(df, ["k"])) == {
+    assert json.loads(body(columns_document(df, ["k"]))) == {
         "k": {"0": 1}, "t": {"0": 1704164645678}, "d": {"0": 1.25},
     }
     assert df.first().d == Decimal("1.25")

@@ -207,3 +207,20 @@ def test_runs_may_share_a_status_table(spark, runner):
     rows = runner.status(spark).collect()
     assert sorted(r.state for r in rows) == ["OK"] * 8 + ["REJECTED"] * 8
     assert len({r.submission_id for r in rows}) == 16
+
+
+def test_answers_come_in_the_order_of_the_query(spark, runner, table):
+    code = "select o_orderkey from orders order by o_orderkey desc"
+    texts = [submission(type="SQL", code=code, resultFormat=name) for name in ("json", "csv", "rows")]
+    status = runner.run(submissions(spark, *texts)).collect()
+    expected = [row.o_orderkey for row in table("orders").orderBy(F.desc("o_orderkey")).collect()]
+    for row in status:
+        body = "".join(runner.answer(spark, row.submission_id))
+        if row.result_format == "csv":
+            assert body == "\n".join(map(str, expected))
+        elif row.result_format == "json":
+            assert [json.loads(text)["o_orderkey"] for text in json.loads(body)] == expected
+        else:
+            assert json.loads(body) == [[str(key)] for key in expected]
+    with pytest.raises(LookupError):
+        runner.answer(spark, "unknown")
