@@ -17,14 +17,16 @@ from slipway.llm.frames import hamming, identified_texts, slices, stored
 SHINGLE_WORDS = 3
 RADIUS = 3
 SEED = 42
+# Shingles of one text whose bits are counted at once, so that a very long text takes no more memory than its words.
+STRETCH = 1 << 16
 
 _HALF = 0xFFFFFFFF
 
 
-def shingles(words: list[bytes], size: int) -> list[bytes]:
+def _shingles(words: list[bytes], size: int) -> Iterator[bytes]:
     """Every run of ``size`` words, space-joined; fewer words make one shingle, none makes none."""
     size = min(size, len(words))
-    return [*map(b" ".join, zip(*(words[at:] for at in range(size)), strict=False))]
+    return map(b" ".join, zip(*(itertools.islice(words, at, None) for at in range(size)), strict=False))
 
 
 def simhash(text: str, size: int = SHINGLE_WORDS) -> int:
@@ -32,13 +34,14 @@ def simhash(text: str, size: int = SHINGLE_WORDS) -> int:
 
     Words are runs without ASCII white space, after A-Z became a-z. No words: zero.
     """
-    hashes = [*map(xxhash.xxh64_intdigest, shingles(text.encode().lower().split(), size), itertools.repeat(SEED))]
-    if not hashes:
-        return 0
-    values = np.array(hashes, np.uint64)
-    bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    majority = bits.sum(axis=0, dtype=np.uint32) * 2 > len(values)
-    return int(np.packbits(majority, bitorder="little").view(np.int64)[0])
+    words = text.encode().lower().split()
+    hashes = map(xxhash.xxh64_intdigest, _shingles(words, size), itertools.repeat(SEED))
+    counts, total = np.zeros(64, np.int64), 0
+    while len(values := np.fromiter(itertools.islice(hashes, STRETCH), np.uint64)):
+        bits = np.unpackbits(values.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.uint32)
+        total += len(values)
+    return int(np.packbits(counts * 2 > total, bitorder="little").view(np.int64)[0])
 
 
 def fingerprints(texts: DataFrame) -> DataFrame:
