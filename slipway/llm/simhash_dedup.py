@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from slipway.llm.components import connected_components
 from slipway.llm.frames import hamming, identified_texts, slices, stored
+from slipway.llm.similar_texts import one_of_each  # noqa: F401
 
 SHINGLE_WORDS = 3
 RADIUS = 3
@@ -160,13 +161,3 @@ def near_duplicates(
     return found.join(components, "fingerprint").select(
         F.col("id").alias(id_column), _hex("fingerprint").alias("fingerprint"), "component_id"
     )
-
-
-def one_of_each(table: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``table`` without near duplicates: of each component the one with the least id stays.
-
-    Rows that repeat an id stay or go together; rows without an id stay.
-    """
-    found = near_duplicates(table, id_column, text_column)
-    gone = found.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("_gone")).distinct()
-    return table.join(gone, table[id_column] == gone["_gone"], "left_anti")
