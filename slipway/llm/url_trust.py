@@ -11,13 +11,17 @@ from slipway.llm.frames import stored
 from slipway.session import remove
 
 DAMPING = 0.85
-ROUNDS = 6
-# Written tables take the place of a growing plan each so many rounds.
-ROUNDS_PER_TABLE = 3
+# Rounds go on until none changes any host's score by more than this part of it.
+TOLERANCE = 1e-9
+# Written tables take the place of a growing plan each so many rounds; then it is seen whether scores still change.
+ROUNDS_PER_TABLE = 6
+# The SQL for another engine has no loop that ends by itself. It follows links over six hops, in lower case only.
+ORACLE_ROUNDS = 6
 # A host is blocked if its distrust is more than so many times its trust.
 DISTRUST_RATIO = 1.0
 
-_LINK = r"""(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'\s<>]+)"""
+_ORACLE_LINK = r"""(?:href|src)\s*=\s*["']?(?:https?:)?//([^/?#"'\s<>]+)"""
+_LINK = "(?i)" + _ORACLE_LINK
 
 
 @dataclass(frozen=True)
@@ -65,28 +69,40 @@ def _rule(rules: tuple[Rule, ...], field: str) -> Column:
     return fitting
 
 
-def _spread(seeds: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
+def _spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """``host`` and ``score``: personalised PageRank of ``edges`` (``src``, ``dst``, ``share``) from ``seeds``
-    (``host``, ``seed``), after so many rounds.
+    (``host``, ``seed``).
 
-    A round is one join and one sum, which is combined before its shuffle. Rank that reaches a host without links ends
-    there. Hosts that nothing reaches have no row.
+    A round is one join and one sum, which is combined before its shuffle. Scores begin at the seeds' own and only
+    grow, by what came one link further; a host that a round reaches for the first time has changed by all of its
+    score, so rounds go on at least until no more hosts are reached. Rank that reaches a host without links ends there.
+    Hosts that nothing reaches have no row.
     """
-    ranks = seeds.select("host", F.col("seed").alias("score"))
-    held: DataFrame | None = None
-    for turn in range(rounds):
-        sent = edges.join(ranks, edges["src"] == ranks["host"]).select(
-            F.col("dst").alias("host"), (F.col("share") * F.col("score") * DAMPING).alias("score")
-        )
-        started = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("score"))
-        ranks = sent.union(started).groupBy("host").agg(F.sum("score").alias("score"))
-        if (turn + 1) % ROUNDS_PER_TABLE == 0:
-            ranks = stored(ranks, "ranks")
-            if held is not None:
-                for path in {file.rpartition("/")[0] for file in held.inputFiles()}:
-                    remove(seeds.sparkSession, path)
-            held = ranks
-    return ranks
+    spark = seeds.sparkSession
+    edges = stored(edges, "shares")
+    started = stored(seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("score")), "started")
+    held, moving = started, True
+    while moving:
+        ranks = held.select("host", "score")
+        for turn in range(ROUNDS_PER_TABLE):
+            before = ranks
+            sent = edges.join(ranks, edges["src"] == ranks["host"]).select(
+                F.col("dst").alias("host"), (F.col("share") * F.col("score") * DAMPING).alias("score")
+            )
+            parts = sent.union(started)
+            if turn < ROUNDS_PER_TABLE - 1:
+                ranks = parts.groupBy("host").agg(F.sum("score").alias("score"))
+            else:
+                old = before.select("host", F.lit(0.0).alias("score"), F.col("score").alias("old"))
+                parts = parts.select("host", "score", F.lit(0.0).alias("old")).union(old)
+                ranks = parts.groupBy("host").agg(F.sum("score").alias("score"), F.sum("old").alias("old"))
+        ranks = stored(ranks, "ranks")
+        if held is not started:
+            for path in {file.rpartition("/")[0] for file in held.inputFiles()}:
+                remove(spark, path)
+        held = ranks
+        moving = not ranks.where(F.abs(F.col("score") - F.col("old")) > F.col("score") * TOLERANCE).isEmpty()
+    return held.select("host", "score")
 
 
 def _shares(links: DataFrame, by: str, to: str) -> DataFrame:
@@ -95,7 +111,7 @@ def _shares(links: DataFrame, by: str, to: str) -> DataFrame:
     return links.join(total, by).select(F.col(by).alias("src"), F.col(to).alias("dst"), (F.col("n") / F.col("total")).alias("share"))
 
 
-def host_scores(judged: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def host_scores(judged: DataFrame, links: DataFrame) -> DataFrame:
     """``host``, ``trust`` and ``distrust`` of every host that either one reaches.
 
     Trust starts at hosts with pages that a rule allows, by their number, and follows links. Distrust starts at those
@@ -112,14 +128,14 @@ def host_scores(judged: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> Da
     def start(count: str) -> DataFrame:
         return seeds.where(f"{count} > 0").select("host", (F.col(count) / F.col(f"all_{count}")).alias("seed"))
 
-    trust = _spread(start("allowed"), _shares(links, "src", "dst"), rounds).withColumnRenamed("score", "trust")
-    distrust = _spread(start("blocked"), _shares(links, "dst", "src"), rounds).withColumnRenamed("score", "distrust")
+    trust = _spread(start("allowed"), _shares(links, "src", "dst")).withColumnRenamed("score", "trust")
+    distrust = _spread(start("blocked"), _shares(links, "dst", "src")).withColumnRenamed("score", "distrust")
     return trust.join(distrust, "host", "full").select(
         "host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")
     )
 
 
-def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = ROUNDS) -> DataFrame:
+def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per row of ``pages`` (``page_id``, ``url``, ``html``): ``page_id``, ``host``, ``path``, ``rule`` and
     ``verdict`` (allow or block).
 
@@ -135,14 +151,14 @@ def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int
     links = parts.where("host <> ''").select(F.col("host").alias("src"), F.explode(links).alias("dst")).where("src <> dst")
     links = stored(links.groupBy("src", "dst").agg(F.count("*").alias("n")), "links")
     judged = parts.drop("html").withColumns({"rule": _rule(rules, "text"), "ruled": _rule(rules, "verdict")})
-    scores = host_scores(judged, links, rounds)
+    scores = host_scores(judged, links)
     blocked = stored(scores.where(F.col("distrust") > F.col("trust") * DISTRUST_RATIO).select(F.col("host").alias("_host")), "blocked")
     joined = judged.join(blocked, judged["host"] == blocked["_host"], "left")
     own = F.when(F.col("_host").isNotNull(), "block").otherwise("allow")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"))
 
 
-def _oracle(rules: tuple[Rule, ...] = RULES, rounds: int = ROUNDS) -> str:
+def _oracle(rules: tuple[Rule, ...] = RULES, rounds: int = ORACLE_ROUNDS) -> str:
     """The same for another engine, round by round."""
 
     def lowered(text: str) -> str:
@@ -166,7 +182,7 @@ def _oracle(rules: tuple[Rule, ...] = RULES, rounds: int = ROUNDS) -> str:
             )
         return ",\n".join(steps)
 
-    link = _LINK.replace("'", "''")
+    link = _ORACLE_LINK.replace("'", "''")
     return f"""
 with parts as (
   select page_id, html, {lowered("regexp_extract(rest, '^[^/?#]*')")} as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path

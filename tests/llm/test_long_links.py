@@ -1,0 +1,40 @@
+"""Trust and distrust over chains and cycles of any length."""
+
+import random
+
+import numpy as np
+import pytest
+
+from slipway.llm.url_trust import DAMPING, host_scores, url_verdicts
+
+
+def test_a_chain_of_hosts(spark):
+    rows = [(0, "http://evil.com/de/", "")]
+    rows += [(n, f"http://h{n}.net/", f"<A HREF='HTTP://{'evil.com' if n == 1 else f'h{n - 1}.net'}/'>") for n in range(1, 31)]
+    rows += [(99, "http://apart.net/", "<a href='http://h30x.net/'>")]
+    found = url_verdicts(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    verdicts = {row.page_id: row.verdict for row in found.collect()}
+    assert verdicts.pop(99) == "allow"
+    assert set(verdicts.values()) == {"block"} and len(verdicts) == 31
+
+
+def test_scores_are_the_limit(spark):
+    chance = random.Random(4)
+    count = 30
+    links = sorted({(a, b) for a, b in ((chance.randrange(count), chance.randrange(count)) for _ in range(70)) if a != b})
+    weights = [(f"h{a}", f"h{b}", chance.randint(1, 5)) for a, b in links]
+    judged = [("h0", "allow"), ("h0", "allow"), ("h1", "allow"), ("h2", "block"), ("h3", None)]
+    found = host_scores(
+        spark.createDataFrame(judged, "host string, ruled string"), spark.createDataFrame(weights, "src string, dst string, n long")
+    )
+    found = {row.host: (row.trust, row.distrust) for row in found.collect()}
+    matrix = np.zeros((count, count))
+    for (a, b), (_, _, n) in zip(links, weights, strict=True):
+        matrix[a, b] = n
+    seeds = np.zeros((2, count))
+    seeds[0, :2], seeds[1, 2] = (2 / 3, 1 / 3), 1
+    for at, way in enumerate((matrix, matrix.T)):
+        shares = way / np.maximum(way.sum(axis=1, keepdims=True), 1)
+        exact = np.linalg.solve(np.eye(count) - DAMPING * shares.T, (1 - DAMPING) * seeds[at])
+        got = [found.get(f"h{n}", (0.0, 0.0))[at] for n in range(count)]
+        assert got == pytest.approx(exact, rel=1e-6, abs=1e-15)
