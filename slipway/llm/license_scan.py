@@ -1,4 +1,4 @@
-"""License notices: named licenses, and blocks of text that contain most of a notice's words."""
+"""License notices: named licenses, and lines or runs of words that contain most of a notice's words."""
 
 from __future__ import annotations
 
@@ -120,6 +120,64 @@ def block_matches(blocks: DataFrame, templates: Mapping[str, str] = TEMPLATES, l
     )
 
 
+def _lengths(templates: Mapping[str, str]) -> list[tuple[str, list[str], int, int]]:
+    """Name, different words, how many of them are needed, and the words that a run may have.
+
+    A run may hold so many other words that the template makes up ``CONTAINMENT`` of it: what a notice's writer put in,
+    or words that stand before each line of a comment.
+    """
+    rows = []
+    for name, words in _template_words(templates):
+        needed = -(-round(len(words) * CONTAINMENT * 1_000_000) // 1_000_000)
+        length = len(re.sub(NOT_WORD, " ", templates[name].lower()).split())
+        rows.append((name, words, needed, -(-round(length * 1_000_000) // round(CONTAINMENT * 1_000_000))))
+    return rows
+
+
+def _known(templates: Mapping[str, str]) -> Column:
+    """All words of the templates."""
+    words = sorted({word for _, words in _template_words(templates) for word in words})
+    return F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
+
+
+def _fewest(templates: Mapping[str, str]) -> int:
+    """So many words of the templates a text needs at least."""
+    return min((needed for _, _, needed, _ in _lengths(templates)), default=0)
+
+
+def run_matches(texts: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
+    """``id``, ``template`` and ``score`` for every text (``id``, ``words``: array) with a run of words that has
+    ``CONTAINMENT`` or more of a template's different words; the score is the largest part that one run has.
+
+    Only the words that are the template's count, so a run ends at one of them and reaches back over as many words as
+    it may have. A text is looked at for those templates of which it has enough words anywhere.
+    """
+    if not templates:
+        return texts.select("id", F.lit("").alias("template"), F.lit(0.0).alias("score")).limit(0)
+    choices = F.array(*(
+        F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, words)).alias("words"), F.lit(needed).alias("needed"), F.lit(length).alias("length"))
+        for name, words, needed, length in _lengths(templates)
+    ))
+    held = texts.select("id", "words", F.array_intersect("words", _known(templates)).alias("held"))
+    near = F.filter(choices, lambda one: F.size(F.array_intersect("held", one["words"])) >= one["needed"])
+    tried = held.select("id", "words", F.explode(near).alias("t"))
+    hits = F.filter(
+        F.transform("words", lambda word, at: F.struct(at.alias("at"), word.alias("word"))),
+        lambda hit: F.array_contains(F.col("t.words"), hit["word"]),
+    )
+    tried = tried.select("id", "t", hits.alias("hits"))
+
+    def words_up_to(last: Column, at: Column) -> Column:
+        start = F.greatest(at + 2 - F.col("t.length"), F.lit(1))
+        run = F.filter(F.slice("hits", start, at + 2 - start), lambda hit: hit["at"] > last["at"] - F.col("t.length"))
+        return F.size(F.array_distinct(F.transform(run, lambda hit: hit["word"])))
+
+    # A filter on the column itself would be worked out beside it, and its parts again for every hit.
+    best = F.filter(F.array(F.array_max(F.transform("hits", words_up_to))), lambda best: best >= F.col("t.needed"))
+    found = tried.select("id", "t", F.explode(best).alias("best"))
+    return found.select("id", F.col("t.name").alias("template"), (F.col("best") / F.size("t.words")).alias("score"))
+
+
 def license_scan(
     table: DataFrame, id_column: str = "doc_id", text_column: str = "text", templates: Mapping[str, str] = TEMPLATES
 ) -> DataFrame:
@@ -128,6 +186,7 @@ def license_scan(
 
     Base: the places where a phrase's words stand one after the other anywhere in the text. Blocks are a text's lines;
     ``block_matches`` finds those that contain a template, whose label is its name up to a hyphen but for ``cc-``.
+    Notices that are wrapped over lines, or over paragraphs, are found by ``run_matches``.
     ``score`` is the largest containment, 1.0 where a phrase stands, else 0. Only texts with a word that all prefixes
     of some template need are cut into blocks. A null text counts as empty, with no words, no places and empty labels.
     Repeated rows come back each. An empty table gives no rows. Other columns are left out.
@@ -144,13 +203,18 @@ def license_scan(
     scanned = named.withColumn("places", F.when(F.col("_words").isNotNull(), _places(F.col("_words"))).otherwise(empty))
     # A text without license words has no block that contains 0.8 of a notice; see _marks.
     lines = F.when(F.col("text").rlike(_marks(templates)), F.filter(F.split("text", "\n"), lambda line: line.rlike(_marks(templates))))
-    scanned = stored(scanned.select("row", "id", "n_words", "places", lines.alias("lines")), "scanned")
+    # Runs within one line have no more than the line, so only texts of several lines are kept whole.
+    wrapped = F.when(F.contains("text", F.lit("\n")) & F.col("text").rlike(_marks(templates)), _words(F.col("text")))
+    wrapped = F.when(F.size(F.array_intersect(wrapped, _known(templates))) >= _fewest(templates), wrapped)
+    scanned = stored(scanned.select("row", "id", "n_words", "places", lines.alias("lines"), wrapped.alias("wrapped")), "scanned")
     blocks = scanned.where("lines is not null").select(F.col("row").alias("id"), F.explode("lines").alias("line"))
     matches = block_matches(blocks.select("id", F.array_distinct(_words(F.col("line"))).alias("words")), templates)
+    runs = scanned.where("wrapped is not null").select(F.col("row").alias("id"), F.col("wrapped").alias("words"))
+    matches = matches.union(run_matches(runs, templates))
     label = F.when(F.startswith("template", F.lit("cc-")), F.col("template")).otherwise(F.split_part("template", F.lit("-"), F.lit(1)))
     matches = matches.groupBy("id").agg(F.collect_set(label).alias("found"), F.max("score").alias("best"))
     matches = matches.withColumnRenamed("id", "_row")
-    joined = scanned.drop("lines").join(matches, F.col("row") == F.col("_row"), "left")
+    joined = scanned.drop("lines", "wrapped").join(matches, F.col("row") == F.col("_row"), "left")
     starts, labels = F.transform("places", lambda place: place["start"]), F.transform("places", lambda place: place["label"])
     every = F.array_union(labels, F.coalesce("found", F.array().cast("array<string>")))
     return joined.select(
