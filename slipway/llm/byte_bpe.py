@@ -5,9 +5,12 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+import heapq
 import re
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from typing import Any
 
 import duckdb
 import numpy as np
@@ -21,8 +24,13 @@ from slipway.llm.frames import identified_texts, slices
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 # Stretches of text that a Python worker remembers; beyond that it keeps those that the texts at hand need.
 MOST_KNOWN = 350_000
-# Words beyond so many bytes contract all places of a pair at once, where that gives the same.
+# Words beyond so many bytes are contracted by a heap: the recursive query keeps the rows of every step, whose number
+# grows with the square of a word's length.
 LONG_WORD = 128
+# Bytes of words, and tokens, that one query is asked about; shorter words' steps take some 256 bytes a byte at most.
+ASKED = 1 << 18
+# Stretches of text that are answered at once, so that a long text with many words takes no more than its own length.
+PIECE = 250_000
 
 # Unicode's White_Space, which the public pattern's \s means.
 _SPACE = r"\x09-\x0d\x20\x85\xa0  -     　"
@@ -51,38 +59,6 @@ with recursive parts as (
 select word, tokens from parts where not live
 """
 
-# The same for long words. If no merge that takes in the new token ranks before it (safe), contracting its leftmost
-# place leaves the next one the least again, so all of them are contracted at once: every second one of a run.
-ENCODE_LONG = """
-with recursive parts as (
-  select word, unnest(tokens) as token, unnest(range(1, len(tokens) + 1)) as place, 0 as step from pieces
-  union all
-  select word, case when hit then best else token end, place, step + 1
-  from (
-    select *, coalesce(lag(hit) over (partition by word order by place), false) as gone
-    from (
-      select *, coalesce(rank = best and case when safe then
-          row_number() over (partition by word, run, rank = best order by place) % 2 = 1
-        else row_number() over (partition by word, rank = best order by place) = 1 end, false) as hit
-      from (
-        select *, row_number() over (partition by word order by place)
-          - row_number() over (partition by word, rank = best order by place) as run
-        from (
-          select *, min(rank) over (partition by word) as best, min(struct_pack(rank := rank, safe := safe)) over (partition by word).safe as safe
-          from (
-            select word, token, place, step, lead(token) over (partition by word order by place) as following from parts
-          ) left join (select l, r, rank, safe from merges) on token = l and following = r
-        )
-      )
-    )
-    where best is not null
-  )
-  where not gone
-),
-last as (select word, max(step) as step from parts group by word)
-select word, list(token order by place) as tokens from parts semi join last using (word, step) group by word
-"""
-
 DECODE = """
 select word, unhex(string_agg(hex(bytes), '' order by place)) as bytes
 from (select word, unnest(tokens) as token, unnest(range(1, len(tokens) + 1)) as place from pieces)
@@ -112,10 +88,7 @@ class Codec:
             if (left := self.ranks.get(token[:at])) is not None and (right := self.ranks.get(token[at:])) is not None
         ]
         left, right, rank = (np.array(column, np.int32) for column in zip(*splits, strict=True))
-        early = np.zeros(max(self.ranks.values()) + 1, bool)
-        early[left[rank < left]] = True
-        early[right[rank < right]] = True
-        self._table("merges", pa.table({"l": left, "r": right, "rank": rank, "safe": ~early[rank]}))
+        self._table("merges", pa.table({"l": left, "r": right, "rank": rank}))
         tokens = pa.table({"token": pa.array(self.ranks.values(), pa.int32()), "bytes": pa.array(self.ranks.keys(), pa.binary())})
         self._table("vocabulary", tokens)
         self.bytes = np.array([self.ranks[bytes([value])] for value in range(256)], np.int32)
@@ -137,24 +110,53 @@ class Codec:
         """The ids of each word as little-endian unsigned 32-bit integers."""
         ids = {word: self.ranks[word].to_bytes(4, "little") for word in words if word in self.ranks}
         rest = [word for word in words if word and word not in ids]
-        for query, some in (
-            (ENCODE, [word for word in rest if len(word) <= LONG_WORD]),
-            (ENCODE_LONG, [word for word in rest if len(word) > LONG_WORD]),
-        ):
-            if some:
-                ends = np.cumsum([0, *map(len, some)])
-                tokens = self.bytes[np.frombuffer(b"".join(some), np.uint8)]
-                places, lists = self._ask(query, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens))
-                values = _list_bytes(lists)
-                ids |= {some[place]: value for place, value in zip(places, values, strict=True)}
-        return ids
+        for some in _groups([word for word in rest if len(word) <= LONG_WORD]):
+            ends = np.cumsum([0, *map(len, some)])
+            tokens = self.bytes[np.frombuffer(b"".join(some), np.uint8)]
+            places, lists = self._ask(ENCODE, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens))
+            values = _list_bytes(lists)
+            ids |= {some[place]: value for place, value in zip(places, values, strict=True)}
+        return ids | {word: self.contracted(word) for word in rest if len(word) > LONG_WORD}
+
+    def contracted(self, word: bytes) -> bytes:
+        """The ids of one word: again and again the pair of the least rank, and of these the leftmost, contracts.
+
+        A heap holds the pairs by rank, start and end; those whose tokens have changed since are passed over. It takes
+        memory in proportion to the word.
+        """
+        size, ranks = len(word), self.ranks
+        # Tokens by their first byte: where the next one begins, and the one before.
+        after, before = array("q", range(1, size + 1)), array("q", range(-1, size - 1))
+        live = bytearray(b"\1") * size
+        heap = [rank << 80 | at << 40 | at + 2 for at in range(size - 1) if (rank := ranks.get(word[at : at + 2])) is not None]
+        heapq.heapify(heap)
+        mask = (1 << 40) - 1
+        while heap:
+            pair = heapq.heappop(heap)
+            at, end = pair >> 40 & mask, pair & mask
+            if not live[at] or (middle := after[at]) >= size or after[middle] != end:
+                continue
+            live[middle], after[at] = 0, end
+            if end < size:
+                before[end] = at
+                if (rank := ranks.get(word[at : after[end]])) is not None:
+                    heapq.heappush(heap, rank << 80 | at << 40 | after[end])
+            if at > 0 and (rank := ranks.get(word[before[at] : end])) is not None:
+                heapq.heappush(heap, rank << 80 | before[at] << 40 | end)
+        starts = np.flatnonzero(np.frombuffer(live, np.uint8)).tolist()
+        return np.array([ranks[word[at : after[at]]] for at in starts], "<u4").tobytes()
 
     def unmerged(self, sequences: list[bytes]) -> dict[bytes, bytes]:
         """The bytes that each sequence of ids stands for."""
-        ends = np.cumsum([0, *(len(ids) // 4 for ids in sequences)])
-        tokens = np.frombuffer(b"".join(sequences), "<u4").astype(np.int32)
-        places, found = self._ask(DECODE, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens))
-        return {b"": b""} | {sequences[place]: value for place, value in zip(places, found.to_pylist(), strict=True)}
+        parts = [(at, ids[start : start + 4 * ASKED]) for at, ids in enumerate(sequences) for start in range(0, len(ids), 4 * ASKED)]
+        back: dict[int, list[bytes]] = {}
+        for some in _groups(parts, lambda part: len(part[1]) // 4):
+            ends = np.cumsum([0, *(len(ids) // 4 for _, ids in some)])
+            tokens = np.frombuffer(b"".join(ids for _, ids in some), "<u4").astype(np.int32)
+            places, found = self._ask(DECODE, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tokens))
+            for place, value in sorted(zip(places, found.to_pylist(), strict=True)):
+                back.setdefault(some[place][0], []).append(value)
+        return {b"": b""} | {sequences[at]: b"".join(values) for at, values in back.items()}
 
     def round_trip(self, stretches: list[str]) -> list[tuple[bytes, bytes]]:
         """The ids of stretches of text that no match of the pattern crosses, and the bytes that these stand for."""
@@ -199,6 +201,14 @@ class Known:
     bytes: dict[str, bytes] = field(default_factory=dict)
 
     def answers(self, lists: list[list[str]], codec: Codec) -> list[tuple[bytes, bytes]]:
+        pieces = [(at, some[start : start + PIECE]) for at, some in enumerate(lists) for start in range(0, len(some), PIECE)]
+        found: list[list[tuple[bytes, bytes]]] = [[] for _ in lists]
+        for group in _groups(pieces, lambda piece: len(piece[1]), PIECE):
+            for (at, _), answer in zip(group, self._answers([some for _, some in group], codec), strict=True):
+                found[at].append(answer)
+        return [(b"".join(ids for ids, _ in some), b"".join(own for _, own in some)) for some in found]
+
+    def _answers(self, lists: list[list[str]], codec: Codec) -> list[tuple[bytes, bytes]]:
         needed = set().union(*lists)
         if len(self.ids) + len(needed) > MOST_KNOWN:
             kept = needed & self.ids.keys()
@@ -211,6 +221,20 @@ class Known:
         return [(b"".join(map(self.ids.__getitem__, x)), b"".join(map(self.bytes.__getitem__, x))) for x in lists]
 
 
+def _groups(items: list, size: Callable[[Any], int] = len, most: int = ASKED) -> Iterator[list]:
+    """The items in order, in groups of at most ``most`` in size, or of one."""
+    group, held = [], 0
+    for item in items:
+        own = size(item)
+        if group and held + own > most:
+            yield group
+            group, held = [], 0
+        group.append(item)
+        held += own
+    if group:
+        yield group
+
+
 def _list_bytes(lists: pa.ListArray | pa.ChunkedArray) -> list[bytes]:
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
     if isinstance(lists, pa.ChunkedArray):
@@ -270,7 +294,7 @@ def round_trip(table: DataFrame, id_column: str = "doc_id", text_column: str = "
     """One row per row of ``table``: its id, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``.
 
     Each match of the public pattern is a word. Words that are tokens are done; the rest are contracted by the recursive
-    query. A task asks it about the words that are new to its worker, some thousands of documents' at a time, and puts
+    query, or beyond ``LONG_WORD`` bytes by a heap. A task asks it about the words that are new to its worker, some thousands of documents' at a time, and puts
     the answers together per document, whatever the document's length. Decoding goes from ids to bytes alone.
 
     A null text counts as empty: no tokens, and the hashes of no bytes. Repeated rows come back each. A null id stays
