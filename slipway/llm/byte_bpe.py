@@ -6,36 +6,28 @@ import base64
 import functools
 import hashlib
 import heapq
-import re
 from array import array
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from slipway.llm.frames import identified_texts, slices
+from slipway.llm.pretokens import Memory
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-# Stretches of text that a Python worker remembers; beyond that it keeps those that the texts at hand need.
-MOST_KNOWN = 350_000
+# Words that a Python worker remembers.
+MOST_KNOWN = 400_000
 # Words beyond so many bytes are contracted by a heap: the recursive query keeps the rows of every step, whose number
 # grows with the square of a word's length.
 LONG_WORD = 128
 # Bytes of words, and tokens, that one query is asked about; shorter words' steps take some 256 bytes a byte at most.
 ASKED = 1 << 18
-# Stretches of text that are answered at once, so that a long text with many words takes no more than its own length.
-PIECE = 250_000
-
-# Unicode's White_Space, which the public pattern's \s means.
-_SPACE = r"\x09-\x0d\x20\x85\xa0  -     　"
-# A space next to other white space.
-_UNEVEN = re.compile(f"[{_SPACE}] | [{_SPACE}]")
 
 # Each word's rows of position and token join the merge table; the least rank, and of these the leftmost, contracts.
 # Words without a pair left are done.
@@ -92,9 +84,7 @@ class Codec:
         tokens = pa.table({"token": pa.array(self.ranks.values(), pa.int32()), "bytes": pa.array(self.ranks.keys(), pa.binary())})
         self._table("vocabulary", tokens)
         self.bytes = np.array([self.ranks[bytes([value])] for value in range(256)], np.int32)
-        pattern = public_tokenizers.PATTERN.replace(r"[^\s", f"[^{_SPACE}").replace(r"\s", f"[{_SPACE}]")
-        self.pattern = regex.compile(pattern.replace(r"\S", f"[^{_SPACE}]"))
-        self.plain, self.spaced = Known(""), Known(" ")
+        self.memory = Memory(self._answers, 2, MOST_KNOWN)
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.database.register("given", rows)
@@ -158,67 +148,15 @@ class Codec:
                 back.setdefault(some[place][0], []).append(value)
         return {b"": b""} | {sequences[at]: b"".join(values) for at, values in back.items()}
 
-    def round_trip(self, stretches: list[str]) -> list[tuple[bytes, bytes]]:
-        """The ids of stretches of text that no match of the pattern crosses, and the bytes that these stand for."""
-        found = [self.pattern.findall(stretch) for stretch in stretches]
-        words = {word: word.encode() for pieces in found for word in pieces}
-        merged = self.merged([*words.values()])
+    def _answers(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        merged = self.merged([word.encode() for word in words])
         decoded = self.unmerged([*merged.values()])
-        ids = {word: merged[value] for word, value in words.items()}
-        back = {word: decoded[value] for word, value in ids.items()}
-        return [
-            (ids[pieces[0]], back[pieces[0]])
-            if len(pieces) == 1
-            else (b"".join(map(ids.__getitem__, pieces)), b"".join(map(back.__getitem__, pieces)))
-            for pieces in found
-        ]
+        ids = [merged[word.encode()] for word in words]
+        return [(value, decoded[value]) for value in ids]
 
     def round_trips(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """For each text its ids, as little-endian unsigned 32-bit integers, and the bytes that these stand for.
-
-        Texts are cut before each single space that stands between other characters, where a match may begin and none
-        crosses. Those with other spaces are cut at every match.
-        """
-        starts, rests = [], []
-        for text in texts:
-            if text[:1] == " " or text[-1:] == " " or _UNEVEN.search(text):
-                starts.append(self.pattern.findall(text))
-                rests.append([])
-            else:
-                start, *rest = text.split(" ")
-                starts.append([start])
-                rests.append(rest)
-        starts, rests = self.plain.answers(starts, self), self.spaced.answers(rests, self)
-        return [(a + b, c + d) for (a, c), (b, d) in zip(starts, rests, strict=True)]
-
-
-@dataclass
-class Known:
-    """What a worker has worked out: ids and bytes of stretches, all of which stand after ``before``."""
-
-    before: str
-    ids: dict[str, bytes] = field(default_factory=dict)
-    bytes: dict[str, bytes] = field(default_factory=dict)
-
-    def answers(self, lists: list[list[str]], codec: Codec) -> list[tuple[bytes, bytes]]:
-        pieces = [(at, some[start : start + PIECE]) for at, some in enumerate(lists) for start in range(0, len(some), PIECE)]
-        found: list[list[tuple[bytes, bytes]]] = [[] for _ in lists]
-        for group in _groups(pieces, lambda piece: len(piece[1]), PIECE):
-            for (at, _), answer in zip(group, self._answers([some for _, some in group], codec), strict=True):
-                found[at].append(answer)
-        return [(b"".join(ids for ids, _ in some), b"".join(own for _, own in some)) for some in found]
-
-    def _answers(self, lists: list[list[str]], codec: Codec) -> list[tuple[bytes, bytes]]:
-        needed = set().union(*lists)
-        if len(self.ids) + len(needed) > MOST_KNOWN:
-            kept = needed & self.ids.keys()
-            self.ids = {stretch: self.ids[stretch] for stretch in kept}
-            self.bytes = {stretch: self.bytes[stretch] for stretch in kept}
-        if new := [*needed - self.ids.keys()]:
-            ids, decoded = zip(*codec.round_trip([self.before + stretch for stretch in new]), strict=True)
-            self.ids.update(zip(new, ids, strict=True))
-            self.bytes.update(zip(new, decoded, strict=True))
-        return [(b"".join(map(self.ids.__getitem__, x)), b"".join(map(self.bytes.__getitem__, x))) for x in lists]
+        """For each text its ids, as little-endian unsigned 32-bit integers, and the bytes that these stand for."""
+        return self.memory.joined(texts)
 
 
 def _groups(items: list, size: Callable[[Any], int] = len, most: int = ASKED) -> Iterator[list]:

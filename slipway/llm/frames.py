@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -9,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slipway.session import work_path
+from slipway.session import partitions_for, remove, work_path
 
 # Text that a Python task holds at once, unless one text alone is longer.
 SLICE_BYTES = 4 << 20
@@ -32,6 +33,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete the folders of stored tables that nothing reads any more."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()[:1]}:
+            remove(table.sparkSession, folder)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of at most ``most`` bytes of ``column``, or of one row."""
     for batch in batches:
@@ -51,3 +59,18 @@ def hamming(left: str | Column, right: str | Column) -> Column:
     left = F.col(left) if isinstance(left, str) else left
     right = F.col(right) if isinstance(right, str) else right
     return F.bit_count(left.bitwiseXOR(right))
+
+
+@contextlib.contextmanager
+def sized_shuffles(df: DataFrame) -> Iterator[None]:
+    """While it lasts, shuffles begin with as many partitions as the input of ``df`` calls for.
+
+    Adaptive execution joins the small ones. It is for work that is done, by writing it, before the end.
+    """
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get(setting, None)
+    conf.set(setting, partitions_for(df))
+    try:
+        yield
+    finally:
+        conf.unset(setting) if before is None else conf.set(setting, before)

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from slipway.llm import speculative_bpe
 from slipway.llm.byte_bpe import round_trip
+from slipway.llm.collocations import COLLOCATIONS_ORACLE, collocations
 from slipway.llm.decontaminate import benchmark_passages
+from slipway.llm.fill_middle import FILL_ORACLE, fill_in_middle_digests
 from slipway.llm.license_scan import license_scan
 from slipway.llm.quality_model import quality_scores
 from slipway.llm.quality_rules import QUALITY_ORACLE, quality_rules
@@ -38,10 +41,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_passages": _leaks,
     "op9_url_trust": _of("pages", url_verdicts),
     "op10_near_duplicates": _of("documents", near_duplicates),
+    "op11_collocations": _of("documents", collocations),
+    "op12_fill_in_middle": _of("documents", fill_in_middle_digests),
+    "op13_speculative_bpe": _of("documents", speculative_bpe.round_trip),
 }
 
 ORACLES = {
     "op1_warc_index": WARC_ORACLE,
     "op5_quality_rules": QUALITY_ORACLE,
     "op9_url_trust": URL_ORACLE,
+    "op11_collocations": COLLOCATIONS_ORACLE,
+    "op12_fill_in_middle": FILL_ORACLE,
 }

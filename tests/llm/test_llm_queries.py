@@ -27,7 +27,7 @@ def test_same_as_sql(spark, folder, name):
 
 def test_every_number_is_registered():
     names = __spark_entry__.queries()
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{number}" for number in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{number}" for number in range(1, 14)}
     assert QUERIES.keys() | {"pipeline"} <= names.keys()
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import tiktoken
 
 import slipway.llm.byte_bpe as bpe
+import slipway.llm.pretokens as pretokens
 
 
 def test_long_words_and_many_words():
@@ -24,6 +25,6 @@ def test_long_words_and_many_words():
 def test_pieces_change_nothing(monkeypatch):
     text = " ".join(f"word{n}ing" for n in range(500)) + " a  b"
     before = bpe.Codec(bpe.read_ranks()).round_trips([text, "", "one  two"])
-    monkeypatch.setattr(bpe, "PIECE", 7)
+    monkeypatch.setattr(pretokens, "PIECE", 7)
     monkeypatch.setattr(bpe, "ASKED", 50)
     assert bpe.Codec(bpe.read_ranks()).round_trips([text, "", "one  two"]) == before
