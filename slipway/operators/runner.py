@@ -19,8 +19,9 @@ from slipway.operators.execute import JobRegistry, run_sql
 from slipway.operators.render import body_of, render
 from slipway.operators.sinks import resolve_path, write_result
 from slipway.operators.status import (
-    ACCEPTED_SUFFIX, PARSE_FAILURE, SUBMIT_FAILURE, accepted, append_status_if_any, append_status_rows, status_table,
+    ACCEPTED_SUFFIX, COMPACT_AFTER, PARSE_FAILURE, SUBMIT_FAILURE, StatusStore, accepted, append_status_if_any, append_status_rows, status_table,
 )
+from slipway.operators.versions import write_version
 from slipway.session import Setup, open_session, remove, settings_of, size_shuffles, work_path
 
 
@@ -45,7 +46,8 @@ class Runner:
 
     ``setup`` gives each session its views and functions. ``jobs`` are the programs that may be named.
     ``session_conf`` is set in each session, for example ``{"spark.sql.ansi.enabled": "false"}``. At most
-    ``max_parallel`` submissions run at a time, in the fair-scheduler pool ``pool`` if one is given.
+    ``max_parallel`` submissions run at a time, in the fair-scheduler pool ``pool`` if one is given. If ``versioned``,
+    results with a path are put by version (``write_version``), to be read by ``read_version``.
     """
 
     results_root: str
@@ -55,6 +57,7 @@ class Runner:
     max_parallel: int = 8
     pool: str | None = None
     status_batch: int = 200
+    versioned: bool = False
 
     @property
     def status_path(self) -> str:
@@ -108,8 +111,11 @@ class Runner:
 
     def _run_staged(self, spark: SparkSession, decoded: DataFrame, settings: Mapping[str, str]) -> None:
         # First the few that are delivered again, so that the status table is read but not shuffled.
-        known = self.status(spark).join(decoded, "submission_id", "left_semi").select("submission_id")
-        routed = route_submissions(decoded.join(known, "submission_id", "left_anti"))
+        store = StatusStore(spark, self.status_path)
+        if store.segments or store.tail:
+            known = store.known(decoded.select("submission_id")).select("submission_id")
+            decoded = decoded.join(known, "submission_id", "left_anti")
+        routed = route_submissions(decoded)
 
         is_rejected = F.col("reason").isNotNull()
         not_run = routed.filter(is_rejected | (F.col("route") == "unsupported"))
@@ -124,6 +130,8 @@ class Runner:
             recorded = recorder.submit(append_status_if_any, outcomes, self.status_path)
             self._run_all(spark, routed.filter(~is_rejected & (F.col("route") != "unsupported")), settings)
             recorded.result()
+        if len(store.tail) >= COMPACT_AFTER:
+            store.compact()
 
     def _stage(self, submissions: DataFrame) -> str:
         """Write the distinct submissions, decoded, to the work folder: later steps read them more than once."""
@@ -195,6 +203,8 @@ class Runner:
         size_shuffles(result)
         if submission.inline:
             write_result(render(result, submission.resultFormat), path, "text")
+        elif self.versioned:
+            write_version(result, path, submission.resultFormat)
         else:
             write_result(result, path, submission.resultFormat)
         return path
