@@ -8,16 +8,18 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slipway.llm.frames import dropped, sized_shuffles, slices, stored
+from slipway.llm.words import mix
 
 # A phrase must occur so often; a phrase goes if a longer one that holds it has so many hundredths of its count.
 LEAST, HELD = 10, 50
 TOP = 2000
 # Text whose edges are counted together, and the part of a longer text that is read at once.
-STRETCH = 8 << 20
+STRETCH = 2 << 20
 # Edges of a unary path that one row holds.
 PATH = 256
 
@@ -30,6 +32,8 @@ _KIND[[*b".,;:!?\n\x0b\x0c\r"]] = 2
 _WORD_END = re.compile(rb"[" + _ENDS + _SPACES + rb"]")
 _TWO_WORDS = re.compile(rb"(?:[" + _SPACES + rb"]*[^" + _ENDS + _SPACES + rb"]+){0,2}")
 _MOST = 1 << 62
+# Buckets of pairs of words, and those of one chunk. More buckets leave out more in larger corpora, for a larger broadcast.
+BUCKET_BITS, CHUNK_BITS = 26, 16
 
 
 def _stretches(text: bytes) -> Iterator[tuple[bytes, int]]:
@@ -45,74 +49,147 @@ def _stretches(text: bytes) -> Iterator[tuple[bytes, int]]:
         start = end
 
 
-def _counted(stretches: list[tuple[bytes, int, int]], langs: pa.Array) -> pa.RecordBatch:
-    """The edges that begin in stretches of text (text, size, language), and how often each does."""
-    data = np.frombuffer(b"\n".join([*(text for text, _, _ in stretches), b""]), np.uint8)
-    begins = np.cumsum([0, *(len(text) + 1 for text, _, _ in stretches)])
-    kind = _KIND[data]
-    inside = kind == 0
-    edges = np.flatnonzero(np.diff(inside, prepend=False))
-    starts, ends = edges[::2], edges[1::2]
-    offsets = np.concatenate([np.zeros(1, np.int32), np.cumsum(ends - starts, dtype=np.int32)])
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
-    words = pa.Array.from_buffers(pa.string(), len(starts), buffers).dictionary_encode()
-    pieces = np.searchsorted(np.flatnonzero(kind == 2), starts)
-    owner = np.searchsorted(begins, starts, side="right") - 1
-    none = len(words.dictionary)
-    own = words.indices.to_numpy().astype(np.int64)
-
-    def following(step: int) -> np.ndarray:
-        """The word ``step`` places on in the same piece, if any."""
-        after = np.full(len(own), none)
-        same = pieces[step:] == pieces[: max(len(own) - step, 0)]
-        after[: len(same)][same] = own[step:][same]
-        return after
-
-    second, third = following(1), following(2)
-    limits = begins[:-1] + np.array([size for _, size, _ in stretches])
-    begun = np.flatnonzero(starts < limits[owner])
-    lang = np.array([lang for _, _, lang in stretches])[owner]
-    codes, size = lang[begun].astype(np.int64), len(langs)
+class _Read:
+    """Stretches of text (text, size, language) as words by number, with the two that follow each in its piece."""
+
+    def __init__(self, stretches: list[tuple[bytes, int, int]], langs: pa.Array) -> None:
+        data = np.frombuffer(b"\n".join([*(text for text, _, _ in stretches), b""]), np.uint8)
+        begins = np.cumsum([0, *(len(text) + 1 for text, _, _ in stretches)])
+        kind = _KIND[data]
+        inside = kind == 0
+        edges = np.flatnonzero(np.diff(inside, prepend=False))
+        starts, ends = edges[::2], edges[1::2]
+        offsets = np.concatenate([np.zeros(1, np.int32), np.cumsum(ends - starts, dtype=np.int32)])
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]
+        words = pa.Array.from_buffers(pa.string(), len(starts), buffers).dictionary_encode()
+        pieces = np.searchsorted(np.flatnonzero(kind == 2), starts)
+        owner = np.searchsorted(begins, starts, side="right") - 1
+        self.names, self.langs = words.dictionary, langs
+        self.none = len(self.names)
+        own = words.indices.to_numpy().astype(np.int64)
+
+        def following(step: int) -> np.ndarray:
+            after = np.full(len(own), self.none)
+            same = pieces[step:] == pieces[: max(len(own) - step, 0)]
+            after[: len(same)][same] = own[step:][same]
+            return after
+
+        limits = begins[:-1] + np.array([size for _, size, _ in stretches])
+        begun = starts < limits[owner]
+        self.own, self.second, self.third = own[begun], following(1)[begun], following(2)[begun]
+        self.lang = np.array([lang for _, _, lang in stretches], np.int64)[owner][begun]
+
+    def buckets(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """The bucket of each word and the next, and of the next two. Where there is no such pair, it means nothing."""
+        factor = np.uint64(0x9E3779B97F4A7C15)
+        hashes = np.array([*map(xxhash.xxh3_64_intdigest, self.names.to_pylist()), 0], np.uint64)
+        langs = np.array([*map(xxhash.xxh3_64_intdigest, self.langs.to_pylist())], np.uint64)[self.lang]
+
+        def bucket(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            return (mix((langs * factor + hashes[left]) * factor + hashes[right]) >> np.uint64(64 - bits)).astype(np.int64)
+
+        with np.errstate(over="ignore"):
+            return bucket(self.own, self.second), bucket(self.second, self.third)
+
+
+def _pairs(reads: Iterable[_Read], bits: int) -> Iterator[pa.RecordBatch]:
+    """How many pairs of words fall in each bucket, for each chunk of buckets as places and counts."""
+    for read in reads:
+        places, counts = np.unique(read.buckets(bits)[0][read.second != read.none], return_counts=True)
+        edges = np.flatnonzero(np.diff(places >> CHUNK_BITS, prepend=-1, append=-1)) if len(places) else [0]
+        rows = [
+            (int(places[start] >> CHUNK_BITS), places[start:end].astype(np.uint16).tobytes(), np.minimum(counts[start:end], 255).astype(np.uint8).tobytes())
+            for start, end in zip(edges[:-1], edges[1:], strict=True)
+        ]
+        columns = zip(*rows, strict=True) if rows else ([], [], [])
+        kinds = (pa.int32(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], ["chunk", "places", "counts"])
+
+
+def _frequent(counted: DataFrame, least: int, bucket_bits: int) -> np.ndarray:
+    """A bit for each bucket: whether ``least`` pairs or more fall in it. ``2 ** bucket_bits`` bits, whatever the corpus."""
+    most = min(least, 255)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, places, counts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                own = sums.setdefault(chunk, np.zeros(1 << CHUNK_BITS, np.uint8))
+                at = np.frombuffer(places, np.uint16)
+                own[at] = np.minimum(own[at].astype(np.uint16) + np.frombuffer(counts, np.uint8), 255)
+        for chunk, own in sums.items():
+            bits = np.packbits(own >= most, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([bits], pa.binary())], ["chunk", "bits"])
+
+    size = 1 << (CHUNK_BITS - 3)
+    found = np.zeros(1 << (bucket_bits - 3), np.uint8)
+    for row in counted.repartition("chunk").mapInArrow(run, "chunk int, bits binary").collect():
+        found[row.chunk * size : (row.chunk + 1) * size] = np.frombuffer(row.bits, np.uint8)
+    return found
+
+
+def _counted(read: _Read, frequent: np.ndarray | None) -> pa.RecordBatch:
+    """The edges that begin in what was read, and how often each does."""
+    own, second, third, none = read.own, read.second, read.third, read.none
+    if frequent is not None:
+        here, there = ((frequent[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1 for at in read.buckets(len(frequent).bit_length() + 2))
+        second = np.where(here, second, none)
+        third = np.where(here & there, third, none)
+    codes, size = read.lang, len(read.langs)
     for column in (own, second, third):
         if size * (none + 1) > _MOST:
             known, codes = np.unique(codes, return_inverse=True)
             size = len(known)
-        codes, size = codes * (none + 1) + column[begun], size * (none + 1)
-    _, first, counts = np.unique(codes, return_index=True, return_counts=True)
-    at = begun[first]
+        codes, size = codes * (none + 1) + column, size * (none + 1)
+    _, at, counts = np.unique(codes, return_index=True, return_counts=True)
 
     def named(column: np.ndarray) -> pa.Array:
-        return words.dictionary.take(pa.array(column[at], mask=column[at] == none))
+        return read.names.take(pa.array(column[at], mask=column[at] == none))
 
     node = pc.binary_join_element_wise(named(own), named(second), " ", null_handling="skip")
-    columns = [langs.take(pa.array(lang[at])), node, named(third), pa.array(counts)]
+    columns = [read.langs.take(pa.array(read.lang[at])), node, named(third), pa.array(counts)]
     return pa.RecordBatch.from_arrays(columns, ["lang", "node", "last", "n"])
 
 
-def phrase_edges(docs: DataFrame, lang_column: str = "lang", text_column: str = "text") -> DataFrame:
+def _reads(batches: Iterable[pa.RecordBatch]) -> Iterator[_Read]:
+    for batch in slices(batches, most=STRETCH):
+        own = batch["lang"].dictionary_encode()
+        texts = zip(batch["text"].to_pylist(), own.indices.to_pylist(), strict=True)
+        group: list[tuple[bytes, int, int]] = []
+        held = 0
+        for text, lang in texts:
+            for part, size in _stretches(text.encode().lower()):
+                if group and held + len(part) > STRETCH:
+                    yield _Read(group, own.dictionary)
+                    group, held = [], 0
+                group.append((part, size, lang))
+                held += len(part)
+        if group:
+            yield _Read(group, own.dictionary)
+
+
+def phrase_edges(docs: DataFrame, least: int = 1, lang_column: str = "lang", text_column: str = "text", bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """``lang``, ``node``, ``last`` and ``n``: how often each phrase of three words occurs, as two words and the third.
 
     Such a phrase is an edge from the node of its first two words to that of its last two. Where a piece ends, ``last`` is
     null, and for its last word the node is that word alone: so each word of the text begins one edge or end.
+
+    Only nodes that occur ``least`` times matter to phrases that do. So pairs of words are first counted by buckets of their
+    hashes. A node whose bucket has fewer is left out: an edge into it counts as an end of the node before, one out of it
+    as an end of its first word. Pairs that share a bucket only leave more nodes in, so all counts are exact.
     """
+    rows = docs.select(
+        F.coalesce(F.col(lang_column).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
+    )
+    shared = None
+    if least > 1:
+        counted = rows.mapInArrow(lambda batches: _pairs(_reads(batches), bucket_bits), "chunk int, places binary, counts binary")
+        shared = docs.sparkSession.sparkContext.broadcast(_frequent(counted, least, bucket_bits))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=STRETCH):
-            own = batch["lang"].dictionary_encode()
-            texts = zip(batch["text"].to_pylist(), own.indices.to_pylist(), strict=True)
-            parts = [(*part, lang) for text, lang in texts for part in _stretches(text.encode().lower())]
-            group: list[tuple[bytes, int, int]] = []
-            held = 0
-            for part in parts:
-                if group and held + len(part[0]) > STRETCH:
-                    yield _counted(group, own.dictionary)
-                    group, held = [], 0
-                group.append(part)
-                held += len(part[0])
-            if group:
-                yield _counted(group, own.dictionary)
+        for read in _reads(batches):
+            yield _counted(read, shared.value if shared else None)
 
-    rows = docs.select(F.coalesce(F.col(lang_column).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     counted = rows.mapInArrow(run, "lang string, node string, last string, n long")
     return counted.groupBy("lang", "node", "last").agg(F.sum("n").alias("n"))
 
@@ -168,7 +245,7 @@ def _floored(a: str, left: str, right: str) -> str:
     return f"(({a} * {a} * 1000000) div ({left} * {right}))"
 
 
-def collocations(docs: DataFrame, least: int = LEAST, held: int = HELD, top: int = TOP, lang_column: str = "lang", text_column: str = "text") -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, held: int = HELD, top: int = TOP, lang_column: str = "lang", text_column: str = "text", bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """Each language's ``top`` phrases of two or three words: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
 
     Texts are lower-cased in A-Z, cut into pieces at ``.,;:!?`` and line breaks, and these into words at spaces and tabs.
@@ -186,7 +263,7 @@ def collocations(docs: DataFrame, least: int = LEAST, held: int = HELD, top: int
     that stays give no rows, as do empty tables. Other columns are left out.
     """
     with sized_shuffles(docs):
-        edges = stored(phrase_edges(docs, lang_column, text_column), "phrase-edges")
+        edges = stored(phrase_edges(docs, least, lang_column, text_column, bucket_bits), "phrase-edges")
         nodes = edges.where(F.instr("node", " ") > 0).groupBy("lang", "node").agg(F.sum("n").alias("a"))
         nodes = stored(nodes.where(F.col("a") >= least), "phrase-nodes")
         words = edges.groupBy("lang", F.substring_index("node", " ", 1).alias("word")).agg(F.sum("n").alias("a"))

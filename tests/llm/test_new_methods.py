@@ -53,12 +53,12 @@ def many_texts(chance, count=60):
     return [" ".join(chance.choices(words, k=chance.randint(0, 60))) for _ in range(count)]
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_collocations_by_brute_force(spark, seed):
     chance = random.Random(seed)
     rows = [(chance.choice(["en", "de", None, "und"]), text) for text in many_texts(chance)] + [("en", None), (None, "")]
     docs = spark.createDataFrame([(lang, text, "x", "y") for lang, text in rows], "lang string, text string, node string, n string")
-    assert found_collocations(docs, least=4) == plain_collocations(rows, least=4)
+    assert found_collocations(docs, least=4, bucket_bits=[26, 16][seed]) == plain_collocations(rows, least=4)
     assert found_collocations(docs, least=1, held=80, top=7) == plain_collocations(rows, least=1, held=80, top=7)
 
 
@@ -76,7 +76,7 @@ def test_stretches_change_nothing(spark, monkeypatch):
         counted = collections.Counter()
         for _, text in rows:
             parts = [(*part, 0) for part in phrases._stretches(text.encode().lower())]
-            for batch in (phrases._counted([part], phrases.pa.array(["en"])) for part in parts):
+            for batch in (phrases._counted(phrases._Read([part], phrases.pa.array(["en"])), None) for part in parts):
                 for row in batch.to_pylist():
                     counted[row["node"], row["last"]] += row["n"]
         plain = collections.Counter()
@@ -178,7 +178,7 @@ def test_encoding_equals_the_library(codec, library):
 
 
 def test_every_character_is_of_the_library_s_kind(codec, library):
-    agrees(codec, library, ["".join(f"a{chr(c)}1{chr(c)} " for c in range(start, min(start + 4096, 0x110000)) if not 0xD800 <= c < 0xE000) for start in range(0, 0x110000, 4096)])
+    agrees(codec, library, ["".join(f"a{chr(c)}1" for c in range(start, min(start + 4096, 0x110000)) if not 0xD800 <= c < 0xE000) for start in range(0, 0x110000, 4096)])
 
 
 def test_encoding_of_whole_documents(spark, table, library):
