@@ -119,14 +119,16 @@ def with_default(column: Column, default: str) -> Column:
 def route_submissions(valid: DataFrame) -> DataFrame:
     """Add what each submission asks for.
 
-    ``route`` is ``sql``, ``job`` or ``unsupported``; ``program`` the plain text of ``code``; ``inline`` is true when
-    the result has no path of its own.
+    ``route`` is ``sql``, ``job`` or ``unsupported``; ``program`` the plain text of ``code``, or of type JAVA the class that
+    is named; ``inline`` is true when the result has no path of its own.
     """
     kind = F.col("type")
+    named = (kind == "JAVA") & (with_default(F.col("className"), "") != "")
     return valid.select(
         "*",
-        F.when(kind == "SQL", "sql").when(kind.isin(*_JOB_TYPES), "job").otherwise("unsupported").alias("route"),
-        F.when(kind == "PYTHON_BASE64", base64_text(F.col("code"))).otherwise(F.col("code")).alias("program"),
+        F.when(kind == "SQL", "sql").when(kind.isin(*_JOB_TYPES) | named, "job").otherwise("unsupported").alias("route"),
+        F.when(kind == "PYTHON_BASE64", base64_text(F.col("code")))
+        .when(named, F.col("className")).otherwise(F.col("code")).alias("program"),
         (with_default(F.col("resultsPath"), "") == "").alias("inline"),
     )
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from slipway.operators.decode import decode_submissions, route_submissions, submission_id
 from slipway.operators.execute import JobRegistry, run_sql
+from slipway.operators.parameters import bindings
 from slipway.operators.render import body_of, render
 from slipway.operators.sinks import resolve_path, write_result
 from slipway.operators.status import (
@@ -169,7 +170,7 @@ class Runner:
     def _rows(self, runnable: DataFrame) -> Iterator[Row]:
         return runnable.select(
             "submission_id", "source_file", "deliveries", "type", "route", "program", "arguments", "environment",
-            "resultFormat", "resultsPath", "inline",
+            "config", "resultFormat", "resultsPath", "inline",
         ).toLocalIterator()
 
     def _run_one(self, spark: SparkSession, settings: Mapping[str, str], submission: Row) -> tuple:
@@ -195,7 +196,7 @@ class Runner:
             path = resolve_path(spark, self.results_root, submission.resultsPath)
         session = open_session(spark, setup=self.setup, inherited=settings)
         if submission.route == "sql":
-            result = run_sql(session, submission.program, submission.arguments)
+            result = run_sql(session, submission.program, bindings(session, submission.config, submission.arguments))
         else:
             result = self.jobs.run(session, submission.program, submission.arguments, submission.environment)
         if not result.columns and not submission.inline:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -18,8 +19,10 @@ from slipway.operators.positions import with_row_index
 from slipway.operators.render import render_columns, render_csv, render_json, render_rows
 from slipway.operators.runner import Runner
 from slipway.operators.sinks import literal_rows, publish_global_view, read_result, write_result
+from slipway.operators.status import StatusStore, append_status
+from slipway.operators.versions import read_version, write_version
 from slipway.plans.tables import read_table, views
-from slipway.session import open_session, work_path
+from slipway.session import open_session, table_views, work_path
 from slipway.sources.submissions import read_submissions
 from slipway.streaming.submissions import stream_submissions as start_stream
 from slipway.streaming.windows import append_closed, distinct_events, tumbling_counts, write_latest
@@ -393,6 +396,77 @@ def _udtf_rows(spark, folder):
 # Running submissions
 
 
+@_query(
+    "typed_arguments",
+    """select c_mktsegment, count(*) as n, round(sum(o_totalprice), 2) as s from orders join customer on o_custkey = c_custkey
+       where c_mktsegment in ('BUILDING', 'MACHINERY', 'FURNITURE') and o_orderdate >= date '1996-03-01' and o_totalprice > 1234.5
+       group by c_mktsegment order by c_mktsegment limit 2""",
+)
+def _typed_arguments(spark, folder):
+    """A submission that binds a list, a date, a decimal and a limit, all by name."""
+    runner = Runner(work_path(spark, "typed"), setup=table_views(spark, folder, ["orders", "customer"]))
+    config = {"parameters": {
+        "segments": ["BUILDING", "MACHINERY", "FURNITURE"], "day": {"type": "date", "value": "1996-03-01"}, "least": 1234.5, "n": 2,
+    }}
+    code = (
+        "select c_mktsegment, count(*) as n, round(sum(o_totalprice), 2) as s from orders join customer on o_custkey = c_custkey "
+        "where array_contains(:segments, c_mktsegment) and o_orderdate >= :day and o_totalprice > :least "
+        "group by c_mktsegment order by c_mktsegment limit :n"
+    )
+    text = json.dumps({"type": "SQL", "code": code, "config": json.dumps(config), "resultFormat": "parquet", "resultsPath": "typed"})
+    runner.run(spark.createDataFrame([(text,)], "value string"))
+    return read_result(spark, f"{runner.results_root}/typed", "parquet")
+
+
+@_query(
+    "named_class",
+    "select o_orderpriority, count(*) as n from orders where year(o_orderdate) >= 1997 group by o_orderpriority",
+)
+def _named_class(spark, folder):
+    """A submission that names a registered program by its class, with arguments."""
+    jobs = JobRegistry()
+
+    @jobs.register("org.example.Priorities")
+    def _priorities(session, arguments, environment):
+        orders = session.table("orders").where(F.year("o_orderdate") >= int(arguments[0]))
+        return orders.groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+
+    runner = Runner(work_path(spark, "classes"), setup=table_views(spark, folder, ["orders"]), jobs=jobs)
+    text = json.dumps({"type": "JAVA", "className": "org.example.Priorities", "arguments": ["1997"], "resultsPath": "c"})
+    runner.run(spark.createDataFrame([(text,)], "value string"))
+    return read_result(spark, f"{runner.results_root}/c")
+
+
+@_query(
+    "versioned_result",
+    "select o_orderstatus, count(*) as n, 2::bigint as version from orders group by o_orderstatus",
+)
+def _versioned_result(spark, folder):
+    """Two versions of one result, the second made of the first; the newest is read, and its number."""
+    path = work_path(spark, "versions")
+    write_version(read_table(spark, folder, "orders"), path)
+    number = write_version(read_version(spark, path).groupBy("o_orderstatus").agg(F.count("*").alias("n")), path, "json")
+    return read_version(spark, path).withColumn("version", F.lit(number).cast("long"))
+
+
+@_query(
+    "status_lookup",
+    "select event_type as state, count(*) as n from events where event_id % 97 = 0 group by event_type",
+)
+def _status_lookup(spark, folder):
+    """Every event as an outcome in a status store of several segments, of which a stated set of ids is looked up."""
+    path = work_path(spark, "outcomes")
+    key = F.sha2(F.col("event_id").cast("string"), 256).alias("submission_id")
+    events = read_table(spark, folder, "events")
+    outcomes = events.select(key, F.col("event_type").alias("state"), F.col("ts").cast("timestamp").alias("finished_at"))
+    for part in range(4):
+        append_status(outcomes.where(F.crc32("submission_id") % 4 == part), path)
+        if part % 2:
+            StatusStore(spark, path).compact(after=2)
+    asked = events.where("event_id % 97 = 0").select(key)
+    return StatusStore(spark, path).known(asked).groupBy("state").agg(F.count("*").alias("n"))
+
+
 def _segment_submissions(spark, folder) -> DataFrame:
     """One SQL submission per market segment, its argument bound and its result stored by segment."""
     segments = read_table(spark, folder, "customer").select("c_mktsegment").distinct()
