@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipway.functions.scalars import mean_by, register_lines, register_sql_function, register_vectorized
+from slipway.operators.band_join import band_join
 from slipway.operators.decode import (
     base64_text, decode_submissions, key_value_map, notebook_requests, route_submissions, valid_submissions,
 )
@@ -19,6 +20,7 @@ from slipway.operators.positions import with_row_index
 from slipway.operators.render import render_columns, render_csv, render_json, render_rows
 from slipway.operators.runner import Runner
 from slipway.operators.sinks import literal_rows, publish_global_view, read_result, write_result
+from slipway.operators.sketches import daily_sketches, distinct_members, in_both, merged, quantile, store_days
 from slipway.operators.status import StatusStore, append_status
 from slipway.operators.versions import read_version, write_version
 from slipway.plans.tables import read_table, views
@@ -393,6 +395,55 @@ def _udtf_rows(spark, folder):
     return run_sql(session, "select doc_id, t.i, t.line from documents, lateral lines(text) t")
 
 
+# Joins and aggregates beyond SQL's own
+
+
+@_query(
+    "band_join",
+    """select a.event_type as a, b.event_type as b, count(*) as n, min(b.t - a.t) as least, max(b.t - a.t) as most
+       from (select event_type, epoch_us(ts) as t from events) a join (select event_type, epoch_us(ts) as t from events) b
+       on b.t between a.t - 5000000 and a.t + 20000000 group by all""",
+)
+def _band_join(spark, folder):
+    """Events of any users from 5 seconds before to 20 seconds after each other: no key is equal."""
+    events = read_table(spark, folder, "events")
+    time = F.unix_micros(F.col("ts").cast("timestamp"))
+    left = events.select(F.col("event_type").alias("a"), time.alias("t"))
+    right = events.select(F.col("event_type").alias("b"), time.alias("u"))
+    near = band_join(left, right, "t", "u", 5_000_000, 20_000_000)
+    gap = F.col("u") - F.col("t")
+    return near.groupBy("a", "b").agg(F.count("*").alias("n"), F.min(gap).alias("least"), F.max(gap).alias("most"))
+
+
+@_query(
+    "stored_sketches",
+    """with d as (select event_type, user_id, value, ts::date as day from events),
+       r as (select min(day) + 3 as lo, max(day) - 3 as hi from d)
+       select event_type, count(*) as n, true as members_ok, true as both_ok, true as median_ok
+       from d, r where day between lo and hi group by event_type""",
+)
+def _stored_sketches(spark, folder):
+    """Sketches stored by day, merged over all days but three at each end, held against exact answers."""
+    session = open_session(spark, {"spark.sql.session.timeZone": "UTC"})
+    events = read_table(session, folder, "events").withColumn("day", F.to_date("ts"))
+    path = work_path(spark, "sketches")
+    store_days(daily_sketches(events, F.col("day"), ["event_type"], "user_id", "value"), path)
+    bounds = events.agg(F.date_add(F.min("day"), 3).alias("lo"), F.date_sub(F.max("day"), 3).alias("hi")).first()
+    whole = merged(session, path, ["event_type"], str(bounds.lo), str(bounds.hi))
+    early = merged(session, path, ["event_type"], last=str(bounds.lo)).select("event_type", F.col("member_set").alias("early"))
+    inside = events.where(F.col("day").between(bounds.lo, bounds.hi))
+    before = events.where(F.col("day") <= bounds.lo).select("event_type", "user_id").distinct()
+    shared = before.intersect(inside.select("event_type", "user_id")).groupBy("event_type").agg(F.count("*").alias("shared"))
+    exact = inside.groupBy("event_type").agg(
+        F.count_distinct("user_id").alias("members_exact"), F.percentile("value", F.array(F.lit(0.45), F.lit(0.55))).alias("middle")
+    )
+    held = whole.join(early, "event_type").join(exact, "event_type").join(shared, "event_type")
+    near = F.abs(distinct_members() - F.col("members_exact")) <= 0.06 * F.col("members_exact")
+    both = F.abs(in_both("early", "member_set") - F.col("shared")) <= 0.06 * F.col("members_exact")
+    median = quantile(0.5).between(F.col("middle")[0], F.col("middle")[1])
+    return held.select("event_type", "n", near.alias("members_ok"), both.alias("both_ok"), median.alias("median_ok"))
+
+
 # Running submissions
 
 
