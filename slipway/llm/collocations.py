@@ -32,8 +32,8 @@ _KIND[[*b".,;:!?\n\x0b\x0c\r"]] = 2
 _WORD_END = re.compile(rb"[" + _ENDS + _SPACES + rb"]")
 _TWO_WORDS = re.compile(rb"(?:[" + _SPACES + rb"]*[^" + _ENDS + _SPACES + rb"]+){0,2}")
 _MOST = 1 << 62
-# Buckets of pairs of words, and those of one chunk. More buckets leave out more in larger corpora, for a larger broadcast.
-BUCKET_BITS, CHUNK_BITS = 26, 16
+# Buckets of phrases, and those of one chunk. More buckets leave out more in larger corpora, for a larger broadcast.
+BUCKET_BITS, CHUNK_BITS = 28, 16
 
 
 def _stretches(text: bytes) -> Iterator[tuple[bytes, int]]:
@@ -80,22 +80,22 @@ class _Read:
         self.lang = np.array([lang for _, _, lang in stretches], np.int64)[owner][begun]
 
     def buckets(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """The bucket of each word and the next, and of the next two. Where there is no such pair, it means nothing."""
-        factor = np.uint64(0x9E3779B97F4A7C15)
+        """The bucket of each word and the next, and that of all three. Where there are no such words, it means nothing."""
+        factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - bits)
         hashes = np.array([*map(xxhash.xxh3_64_intdigest, self.names.to_pylist()), 0], np.uint64)
         langs = np.array([*map(xxhash.xxh3_64_intdigest, self.langs.to_pylist())], np.uint64)[self.lang]
-
-        def bucket(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-            return (mix((langs * factor + hashes[left]) * factor + hashes[right]) >> np.uint64(64 - bits)).astype(np.int64)
-
         with np.errstate(over="ignore"):
-            return bucket(self.own, self.second), bucket(self.second, self.third)
+            two = mix((langs * factor + hashes[self.own]) * factor + hashes[self.second])
+            three = mix(two * factor + hashes[self.third])
+        return (two >> shift).astype(np.int64), (three >> shift).astype(np.int64)
 
 
-def _pairs(reads: Iterable[_Read], bits: int) -> Iterator[pa.RecordBatch]:
-    """How many pairs of words fall in each bucket, for each chunk of buckets as places and counts."""
+def _bucketed(reads: Iterable[_Read], bits: int) -> Iterator[pa.RecordBatch]:
+    """How many phrases of two and three words fall in each bucket, for each chunk of buckets as places and counts."""
     for read in reads:
-        places, counts = np.unique(read.buckets(bits)[0][read.second != read.none], return_counts=True)
+        two, three = read.buckets(bits)
+        both = np.concatenate([two[read.second != read.none], three[read.third != read.none]])
+        places, counts = np.unique(both, return_counts=True)
         edges = np.flatnonzero(np.diff(places >> CHUNK_BITS, prepend=-1, append=-1)) if len(places) else [0]
         rows = [
             (int(places[start] >> CHUNK_BITS), places[start:end].astype(np.uint16).tobytes(), np.minimum(counts[start:end], 255).astype(np.uint8).tobytes())
@@ -107,7 +107,7 @@ def _pairs(reads: Iterable[_Read], bits: int) -> Iterator[pa.RecordBatch]:
 
 
 def _frequent(counted: DataFrame, least: int, bucket_bits: int) -> np.ndarray:
-    """A bit for each bucket: whether ``least`` pairs or more fall in it. ``2 ** bucket_bits`` bits, whatever the corpus."""
+    """A bit for each bucket: whether ``least`` phrases or more fall in it. ``2 ** bucket_bits`` bits, whatever the corpus."""
     most = min(least, 255)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,9 +132,9 @@ def _counted(read: _Read, frequent: np.ndarray | None) -> pa.RecordBatch:
     """The edges that begin in what was read, and how often each does."""
     own, second, third, none = read.own, read.second, read.third, read.none
     if frequent is not None:
-        here, there = ((frequent[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1 for at in read.buckets(len(frequent).bit_length() + 2))
-        second = np.where(here, second, none)
-        third = np.where(here & there, third, none)
+        node, edge = ((frequent[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1 for at in read.buckets(len(frequent).bit_length() + 2))
+        second = np.where(node, second, none)
+        third = np.where(node & edge, third, none)
     codes, size = read.lang, len(read.langs)
     for column in (own, second, third):
         if size * (none + 1) > _MOST:
@@ -174,16 +174,16 @@ def phrase_edges(docs: DataFrame, least: int = 1, lang_column: str = "lang", tex
     Such a phrase is an edge from the node of its first two words to that of its last two. Where a piece ends, ``last`` is
     null, and for its last word the node is that word alone: so each word of the text begins one edge or end.
 
-    Only nodes that occur ``least`` times matter to phrases that do. So pairs of words are first counted by buckets of their
-    hashes. A node whose bucket has fewer is left out: an edge into it counts as an end of the node before, one out of it
-    as an end of its first word. Pairs that share a bucket only leave more nodes in, so all counts are exact.
+    Only nodes and edges that occur ``least`` times matter to phrases that do. So phrases of two and three words are first
+    counted by buckets of their hashes. An edge whose bucket has fewer counts as an end of its node, a node whose bucket has
+    fewer as an end of its first word. Phrases that share a bucket only leave more of them in, so all counts are exact.
     """
     rows = docs.select(
         F.coalesce(F.col(lang_column).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_column), F.lit("")).alias("text")
     )
     shared = None
     if least > 1:
-        counted = rows.mapInArrow(lambda batches: _pairs(_reads(batches), bucket_bits), "chunk int, places binary, counts binary")
+        counted = rows.mapInArrow(lambda batches: _bucketed(_reads(batches), bucket_bits), "chunk int, places binary, counts binary")
         shared = docs.sparkSession.sparkContext.broadcast(_frequent(counted, least, bucket_bits))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
