@@ -331,13 +331,21 @@ with pieces as (
       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
     from documents
   )
+), numbered as (
+  select lang, row_number() over () as piece, w from pieces where len(w) > 0
+), words as (
+  select lang, piece, unnest(w) as x, generate_subscripts(w, 1) as place from numbered
+), following as (
+  select lang, x, lead(x) over (partition by piece order by place) as y,
+    lead(x, 2) over (partition by piece order by place) as z
+  from words
 ), phrases as (
-  select lang, 1 as size, unnest(w) as phrase from pieces
+  select lang, 1 as size, x as phrase from following
   union all
-  select lang, 2, unnest(list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' '))) from pieces
+  select lang, 2, x || ' ' || y from following where y is not null
   union all
-  select lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) from pieces
-), counts as (
+  select lang, 3, x || ' ' || y || ' ' || z from following where z is not null
+), counts as materialized (
   select lang, size, phrase, count(*) as a from phrases group by all
 ), totals as (
   select lang, sum(a)::bigint as n from counts where size = 1 group by lang
@@ -350,9 +358,13 @@ with pieces as (
   ) group by all
 ), cuts as (
   select c.lang, c.phrase, c.a, k, l.a as l, r.a as r, (1000000::hugeint * c.a * c.a) // (l.a::hugeint * r.a) as score
-  from (select *, unnest(range(1, size)) as k from candidates) c
-  join counts l on l.lang = c.lang and l.phrase = array_to_string(c.w[:k], ' ')
-  join counts r on r.lang = c.lang and r.phrase = array_to_string(c.w[k + 1:], ' ')
+  from (
+    select lang, phrase, a, 1 as k, w[1] as first, array_to_string(w[2:], ' ') as rest from candidates
+    union all
+    select lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] from candidates where size = 3
+  ) c
+  join counts l on l.lang = c.lang and l.phrase = c.first
+  join counts r on r.lang = c.lang and r.phrase = c.rest
 ), best as (
   select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
 ), ranked as (
