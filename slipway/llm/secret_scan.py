@@ -54,10 +54,18 @@ LOOKS_LIKE = str.maketrans("4@310$5!7", "aaeiossit")
 _RANKS = {word: rank for rank, word in reversed([*enumerate(COMMON_WORDS, 1)])}
 _LONGEST = max(map(len, _RANKS))
 _PLACES = {key: (row, place) for row, keys in enumerate(KEYBOARD) for place, key in enumerate(keys)}
-_DATE = re.compile(
-    r"(?:19|20)\d\d(?P<a>[-/._]?)(?:0[1-9]|1[0-2])(?P=a)(?:0[1-9]|[12]\d|3[01])"
-    r"|(?:0[1-9]|[12]\d|3[01])(?P<b>[-/._]?)(?:0[1-9]|1[0-2])(?P=b)(?:19|20)\d\d|(?:19|20)\d\d"
+# Dates and years, looked for at every place: those with a day that begin with the year, with the day, and years alone.
+_DATES = tuple(
+    re.compile(f"(?=({date}))")
+    for date in (
+        r"(?:19|20)\d\d(?P<mark>[-/._]?)(?:0[1-9]|1[0-2])(?P=mark)(?:0[1-9]|[12]\d|3[01])",
+        r"(?:0[1-9]|[12]\d|3[01])(?P<mark>[-/._]?)(?:0[1-9]|1[0-2])(?P=mark)(?:19|20)\d\d",
+        r"(?P<mark>)(?:19|20)\d\d",
+    )
 )
+# What each piece but a character tried by itself costs more, and the least length of a repeat or walk.
+_PIECE = 0.3
+_LEAST_RUN = 3
 _CLASSES = ((re.compile("[0-9]"), 10), (re.compile("[a-z]"), 26), (re.compile("[A-Z]"), 26), (re.compile("[^0-9A-Za-z]"), 33))
 
 
@@ -92,57 +100,98 @@ def _beside(a: str, b: str) -> int | None:
     return steps.index(step) if step in steps else None
 
 
-def _runs(value: str) -> Iterator[tuple[int, int, float]]:
-    """Start, end and cost of every longest repeat of a character and every longest keyboard walk of three or more."""
-    lower = value.lower()
-    start = 0
-    for at in range(1, len(value) + 1):
-        if at == len(value) or value[at] != value[start]:
-            if at - start > 2:
-                yield start, at, math.log10(94 * (at - start))
-            start = at
-    start, turns, last = 0, 0, None
-    for at in range(1, len(value) + 1):
-        way = _beside(lower[at - 1], lower[at]) if at < len(value) else None
-        if way is None:
-            if at - start > 2:
-                yield start, at, math.log10(len(_PLACES) * (at - start)) + turns * math.log10(6)
-            start, turns, last = at, 0, None
-        else:
-            turns, last = turns + (way != last), way
+def _dates(value: str) -> Iterator[tuple[int, int, float]]:
+    """Start, end and cost of every date and year."""
+    for pattern in _DATES:
+        for found in pattern.finditer(value):
+            days = 1.0 if len(found[1]) == 4 else 365.0
+            yield *found.span(1), math.log10(days * 60 * (4 if found["mark"] else 1))
+
+
+class _Starts:
+    """The cheapest start of a repeat or walk that ends at a place, out of all starts within one longest run.
+
+    A piece from ``start`` to ``end`` costs what ``add`` was given for the start, and log10 of its length. The part for
+    the length grows ever more slowly, so a start that an earlier one has once undercut stays undercut; a later start
+    that costs no more undercuts all before it. Only starts that neither is true of are looked at again.
+    """
+
+    def __init__(self) -> None:
+        self._kept: list[tuple[int, float]] = []
+
+    def add(self, start: int, cost: float) -> None:
+        while self._kept and self._kept[-1][1] >= cost:
+            self._kept.pop()
+        self._kept.append((start, cost))
+
+    def cheapest(self, end: int) -> float:
+        kept: list[tuple[int, float]] = []
+        least = math.inf
+        for start, cost in self._kept:
+            whole = cost + math.log10(end - start)
+            if whole < least:
+                kept.append((start, cost))
+                least = whole
+        self._kept = kept
+        return least
 
 
 def guess_cost(value: str, enough: float = math.inf) -> float:
     """The power of ten of the guesses that ``value`` takes: the cheapest way to cut it into common words, dates,
     repeats, keyboard walks and characters tried one by one, whose powers add up.
 
-    ``best`` holds the cheapest cut of every prefix; each place looks back at the pieces that end there. Once all
-    prefixes that a later piece could follow cost ``enough``, that is returned: no cut of the rest is cheaper than
-    nothing. Repeats and walks only count whole, so the work grows with the length.
+    ``best`` holds the cheapest cut of every prefix; each place looks back at all pieces that end there. Repeats of a
+    character and walks count from every start to every end that are three or more apart; see ``_Starts`` for why that
+    takes no square of a long run. Once all prefixes that a later piece could follow cost ``enough``, that is returned:
+    no cut of the rest is cheaper than nothing.
     """
+    lower = value.lower()
+    # str.lower may lengthen a few letters, none of which is on a keyboard or equal to its neighbour in another way.
+    keys = lower if len(lower) == len(value) else value
     ending: dict[int, list[tuple[int, float]]] = {}
-    reach = [*range(len(value) + 1)]  # up to where a piece that starts at or before this place may end
-    for start, end, cost in _runs(value):
+    reach = [*range(1, len(value) + 1)]  # up to where a date that starts here may end
+    for start, end, cost in _dates(value):
         ending.setdefault(end, []).append((start, cost))
         reach[start] = max(reach[start], end)
-    for found in _DATE.finditer(value):
-        days = 1.0 if found.end() - found.start() == 4 else 365.0
-        cost = math.log10(days * 60 * (4 if found["a"] or found["b"] else 1))
-        ending.setdefault(found.end(), []).append((found.start(), cost))
-        reach[found.start()] = max(reach[found.start()], found.end())
     pool = math.log10(sum(size for kind, size in _CLASSES if kind.search(value)) or 1)
+    turn = math.log10(6)
     best = [0.0]
     furthest = 0
+    below = 0  # the last prefix that costs less than enough
+    repeat, repeat_from, walk, walk_from = _Starts(), 0, _Starts(), 0
+    turns = [0]  # for each character, how often the walk up to the step after it has turned
+    last: int | None = None
     for end in range(1, len(value) + 1):
-        furthest = max(furthest, reach[end - 1])
+        at = end - 1
+        furthest = max(furthest, reach[at])
+        if at and value[at] != value[at - 1]:
+            repeat, repeat_from = _Starts(), at
+        if at:
+            way = _beside(keys[at - 1], keys[at])
+            if way is None:
+                walk, walk_from = _Starts(), at
+            turns[at - 1] += way is not None and last is not None and way != last
+            turns.append(turns[at - 1])
+            last = way
         cost = best[-1] + pool
         for start in range(max(0, end - _LONGEST), end - 1):
             if (word := _word_cost(value[start:end])) is not None:
-                cost = min(cost, best[start] + word + 0.3)
+                cost = min(cost, best[start] + word + _PIECE)
         for start, piece in ending.get(end, ()):
-            cost = min(cost, best[start] + piece + 0.3)
+            cost = min(cost, best[start] + piece + _PIECE)
+        start = end - _LEAST_RUN
+        if start >= repeat_from:
+            repeat.add(start, best[start])
+            cost = min(cost, repeat.cheapest(end) + math.log10(94) + _PIECE)
+        if start >= walk_from:
+            walk.add(start, best[start] - turns[start] * turn)
+            way_there = walk.cheapest(end) + (turns[end - 2] + 1) * turn
+            cost = min(cost, way_there + math.log10(len(_PLACES)) + _PIECE)
         best.append(cost)
-        if furthest <= end and min(best[-_LONGEST:]) >= enough:
+        # Inside a run, a later piece may start anywhere in it.
+        if cost < enough:
+            below = end
+        if furthest <= end and below < min(end - _LONGEST + 1, repeat_from, walk_from):
             return enough
     return best[-1]
 
