@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slipway.llm.frames import identified_texts, stored
@@ -13,6 +14,8 @@ from slipway.llm.frames import identified_texts, stored
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # A block meets a template if it has so large a part of the template's different words.
 CONTAINMENT = 0.8
+# Notices of so many different words or fewer must be there whole: any one word of theirs may be the telling one.
+SHORT = 13
 
 # The phrases that name a license, and their labels.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -38,6 +41,12 @@ TEMPLATES = {
     "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-nc": "Licensed under CC BY-NC 4.0.",
 }
+# Words without which a long notice is another license's, and words that make a notice another license's.
+TELLING = {"apache": ("apache",)}
+UNLESS = {
+    "cc-by": ("nc", "nd", "sa", "noncommercial", "noderivatives", "noderivs", "sharealike"),
+    "cc-by-nc": ("nd", "sa", "noderivatives", "noderivs", "sharealike"),
+}
 
 
 def _lowered(text: Column) -> Column:
@@ -72,105 +81,140 @@ def _places(words: Column) -> Column:
     return F.concat(*(starts(phrase, label) for phrase, label in PHRASES.items()))
 
 
-def block_matches(blocks: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = CONTAINMENT) -> DataFrame:
+class _Notice(NamedTuple):
+    """A template as blocks and runs are held against it."""
+
+    template: str
+    words: list[str]  # the different ones
+    needed: int  # so many of them
+    most: int  # words that a block or run may have
+    telling: list[str]
+    unless: list[str]
+
+
+def _notices(templates: Mapping[str, str], least: float, whole: int, part: float) -> list[_Notice]:
+    """Templates of ``whole`` different words or fewer need all of them, the others ``least``. A block may hold so many
+    other words that the template makes up ``part`` of it: what a notice's writer put in, or comment signs."""
+    found = []
+    for name, words in _template_words(templates):
+        needed = len(words) if len(words) <= whole else -(-round(len(words) * least * 1_000_000) // 1_000_000)
+        length = len(re.sub(NOT_WORD, " ", templates[name].lower()).split())
+        most = -(-round(length * 1_000_000) // round(part * 1_000_000)) if part else 2**31 - 1
+        found.append(_Notice(name, words, needed, most, [*TELLING.get(name, ())], [*UNLESS.get(name, ())]))
+    return found
+
+
+def _texts(words: list[str]) -> Column:
+    return F.array(*map(F.lit, words)).cast("array<string>")
+
+
+def _table(spark: SparkSession, rows: list[Column]) -> DataFrame:
+    """A small table of literal structs."""
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+def _known(notices: list[_Notice]) -> list[str]:
+    """All words that decide anything."""
+    return sorted({word for notice in notices for word in (*notice.words, *notice.unless)})
+
+
+def _no_matches(rows: DataFrame) -> DataFrame:
+    return rows.select("id", F.lit("").alias("template"), F.lit(0.0).alias("score")).limit(0)
+
+
+def block_matches(
+    blocks: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = CONTAINMENT, whole: int = 0, part: float = 0.0
+) -> DataFrame:
     """``id``, ``template`` and ``score`` for every block (``id``, ``words``: array) that has ``least`` or more of a
-    template's different words; the score is that part.
+    template's different words; the score is that part. Templates of ``whole`` words or fewer must be there whole. If
+    ``part`` is given, blocks of which the template would make up less do not count. Words of ``TELLING`` must be
+    there, those of ``UNLESS`` must not.
 
     Words are ordered by how many blocks have them, rarest first. A block that has all but ``k`` of a template's words
-    has one of the first ``k + 1`` in this order (prefix filter), and has enough words at all (length filter); what is
-    left of the template after the place where the two first meet must suffice (positional filter). Only words of
-    templates are counted and kept, of which there is a number fixed by the templates, so the first pass drops blocks
-    that cannot match before any is spread over rows. Candidates are verified by their whole word sets.
+    has one of the first ``k + 1`` in this order (prefix filter), and has words enough, but not too many (length
+    filter). At the first word that both have, what follows it in the template, and what follows it in the block, must
+    suffice for the rest (positional filter). Only words of templates are counted and kept, of which there is a number
+    fixed by the templates, so the first pass drops blocks that cannot match before any is spread over rows. Candidates
+    are verified by their whole word sets.
     """
     spark = blocks.sparkSession
-    known = sorted({word for _, words in _template_words(templates) for word in words})
-    vocabulary = F.array(*map(F.lit, known))
-    # Blocks without enough of the templates' words for any template go here.
-    needed = {name: -(-round(len(words) * least * 1_000_000) // 1_000_000) for name, words in _template_words(templates)}
-    rows = [(name, words, needed[name]) for name, words in _template_words(templates)]
-    if not rows:
-        return blocks.select("id", F.lit("").alias("template"), F.lit(0.0).alias("score")).limit(0)
-    held = blocks.select("id", F.array_intersect("words", vocabulary).alias("words")).where(
-        F.size("words") >= min(needed.values())
-    )
-    held = stored(held, "blocks")
-    counts = held.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    # One row per different word of the templates.
-    template_rows = spark.createDataFrame(rows, "template string, words array<string>, needed int")
-    spread = template_rows.select("template", "needed", F.size("words").alias("size"), F.explode("words").alias("word"))
-    ranked = spread.join(counts, "word", "left").selectExpr(
-        "template", "needed", "size", "word",
-        "row_number() over (partition by template order by coalesce(n, 0), word) - 1 as place",
-    )
-    prefix = ranked.where("place <= size - needed")
-    tokens = held.select("id", "words", F.monotonically_increasing_id().alias("block"))
-    tokens = tokens.withColumn("word", F.explode("words"))
-    met = (
-        tokens.join(F.broadcast(prefix), "word")
-        .where("size(words) >= needed and size - place >= needed")
-        .select("id", "block", "words", "template", "needed")
-        .dropDuplicates(["block", "template"])
+    notices = _notices(templates, least, whole, part)
+    if not notices:
+        return _no_matches(blocks)
+    held = blocks.select("id", F.size("words").alias("n"), F.array_intersect("words", _texts(_known(notices))).alias("words"))
+    held = stored(held.where(F.size("words") >= min(notice.needed for notice in notices)), "blocks")
+    # One row for each word of the templates at most.
+    counts = dict(held.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*")).collect())
+    order = sorted(_known(notices), key=lambda word: (counts.get(word, 0), word))
+    prefix = [
+        F.struct(F.lit(notice.template).alias("template"), F.lit(word).alias("word"), F.lit(at).alias("at"))
+        for notice in notices
+        for at, word in enumerate(sorted(notice.words, key=order.index)[: len(notice.words) - notice.needed + 1])
+    ]
+    bounds = [
+        F.struct(
+            F.lit(notice.template).alias("template"), _texts(notice.words).alias("template_words"),
+            F.lit(notice.needed).alias("needed"), F.lit(notice.most).alias("most"),
+            _texts(notice.telling).alias("telling"), _texts(notice.unless).alias("unless"),
+        )
+        for notice in notices
+    ]
+    # An intersection has the order of its first array.
+    tokens = held.select("id", "n", F.array_intersect(_texts(order), "words").alias("words"), F.monotonically_increasing_id().alias("block"))
+    tokens = tokens.select("*", F.posexplode("words").alias("place", "word"))
+    met = tokens.join(F.broadcast(_table(spark, prefix)), "word").join(F.broadcast(_table(spark, bounds)), "template")
+    met = met.where("size(words) >= needed and n <= most").where(
+        "1 + least(size(template_words) - at - 1, size(words) - place - 1) >= needed"
     )
-    sets = template_rows.select("template", F.col("words").alias("template_words"))
     common = F.size(F.array_intersect("words", "template_words"))
     return (
-        met.join(F.broadcast(sets), "template")
+        met.dropDuplicates(["block", "template"])
         .where(common >= F.col("needed"))
+        .where(F.size(F.array_except("telling", "words")) == 0)
+        .where(~F.arrays_overlap("unless", "words"))
         .select("id", "template", (common / F.size("template_words")).alias("score"))
     )
 
 
-def _lengths(templates: Mapping[str, str]) -> list[tuple[str, list[str], int, int]]:
-    """Name, different words, how many of them are needed, and the words that a run may have.
-
-    A run may hold so many other words that the template makes up ``CONTAINMENT`` of it: what a notice's writer put in,
-    or words that stand before each line of a comment.
-    """
-    rows = []
-    for name, words in _template_words(templates):
-        needed = -(-round(len(words) * CONTAINMENT * 1_000_000) // 1_000_000)
-        length = len(re.sub(NOT_WORD, " ", templates[name].lower()).split())
-        rows.append((name, words, needed, -(-round(length * 1_000_000) // round(CONTAINMENT * 1_000_000))))
-    return rows
-
-
-def _known(templates: Mapping[str, str]) -> Column:
-    """All words of the templates."""
-    words = sorted({word for _, words in _template_words(templates) for word in words})
-    return F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
-
-
-def _fewest(templates: Mapping[str, str]) -> int:
-    """So many words of the templates a text needs at least."""
-    return min((needed for _, _, needed, _ in _lengths(templates)), default=0)
-
-
-def run_matches(texts: DataFrame, templates: Mapping[str, str] = TEMPLATES) -> DataFrame:
+def run_matches(texts: DataFrame, templates: Mapping[str, str] = TEMPLATES, whole: int = 0) -> DataFrame:
     """``id``, ``template`` and ``score`` for every text (``id``, ``words``: array) with a run of words that has
-    ``CONTAINMENT`` or more of a template's different words; the score is the largest part that one run has.
+    ``CONTAINMENT`` or more of a template's different words, or all of them if they are ``whole`` or fewer; the score is
+    the largest part that one run has. The template makes up ``CONTAINMENT`` of the run; words of ``TELLING`` must be in
+    it, those of ``UNLESS`` must not.
 
     Only the words that are the template's count, so a run ends at one of them and reaches back over as many words as
     it may have. A text is looked at for those templates of which it has enough words anywhere.
     """
-    if not templates:
-        return texts.select("id", F.lit("").alias("template"), F.lit(0.0).alias("score")).limit(0)
+    notices = _notices(templates, CONTAINMENT, whole, CONTAINMENT)
+    if not notices:
+        return _no_matches(texts)
     choices = F.array(*(
-        F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, words)).alias("words"), F.lit(needed).alias("needed"), F.lit(length).alias("length"))
-        for name, words, needed, length in _lengths(templates)
+        F.struct(
+            F.lit(notice.template).alias("name"), _texts(notice.words).alias("words"), F.lit(notice.needed).alias("needed"),
+            F.lit(notice.most).alias("length"), _texts(notice.telling).alias("telling"), _texts(notice.unless).alias("unless"),
+            _texts([*notice.words, *notice.unless]).alias("heeded"),
+        )
+        for notice in notices
     ))
-    held = texts.select("id", "words", F.array_intersect("words", _known(templates)).alias("held"))
+    held = texts.select("id", "words", F.array_intersect("words", _texts(_known(notices))).alias("held"))
     near = F.filter(choices, lambda one: F.size(F.array_intersect("held", one["words"])) >= one["needed"])
     tried = held.select("id", "words", F.explode(near).alias("t"))
     hits = F.filter(
         F.transform("words", lambda word, at: F.struct(at.alias("at"), word.alias("word"))),
-        lambda hit: F.array_contains(F.col("t.words"), hit["word"]),
+        lambda hit: F.array_contains(F.col("t.heeded"), hit["word"]),
     )
     tried = tried.select("id", "t", hits.alias("hits"))
 
+    def counted(words: Column) -> Column:
+        plain = F.size("t.telling") + F.size("t.unless") == 0
+        other = (F.size(F.array_except("t.telling", words)) > 0) | F.arrays_overlap("t.unless", words)
+        return F.when(plain, F.size(words)).when(other, F.lit(-1)).otherwise(F.size(words))
+
     def words_up_to(last: Column, at: Column) -> Column:
         start = F.greatest(at + 2 - F.col("t.length"), F.lit(1))
         run = F.filter(F.slice("hits", start, at + 2 - start), lambda hit: hit["at"] > last["at"] - F.col("t.length"))
-        return F.size(F.array_distinct(F.transform(run, lambda hit: hit["word"])))
+        different = F.array_distinct(F.transform(run, lambda hit: hit["word"]))
+        return F.get(F.transform(F.array(different), counted), F.lit(0))
 
     # A filter on the column itself would be worked out beside it, and its parts again for every hit.
     best = F.filter(F.array(F.array_max(F.transform("hits", words_up_to))), lambda best: best >= F.col("t.needed"))
@@ -186,7 +230,8 @@ def license_scan(
 
     Base: the places where a phrase's words stand one after the other anywhere in the text. Blocks are a text's lines;
     ``block_matches`` finds those that contain a template, whose label is its name up to a hyphen but for ``cc-``.
-    Notices that are wrapped over lines, or over paragraphs, are found by ``run_matches``.
+    Notices that are wrapped over lines, or over paragraphs, or stand within a longer line, are found by ``run_matches``.
+    Notices of ``SHORT`` different words or fewer count whole only.
     ``score`` is the largest containment, 1.0 where a phrase stands, else 0. Only texts with a word that all prefixes
     of some template need are cut into blocks. A null text counts as empty, with no words, no places and empty labels.
     Repeated rows come back each. An empty table gives no rows. Other columns are left out.
@@ -203,14 +248,16 @@ def license_scan(
     scanned = named.withColumn("places", F.when(F.col("_words").isNotNull(), _places(F.col("_words"))).otherwise(empty))
     # A text without license words has no block that contains 0.8 of a notice; see _marks.
     lines = F.when(F.col("text").rlike(_marks(templates)), F.filter(F.split("text", "\n"), lambda line: line.rlike(_marks(templates))))
-    # Runs within one line have no more than the line, so only texts of several lines are kept whole.
-    wrapped = F.when(F.contains("text", F.lit("\n")) & F.col("text").rlike(_marks(templates)), _words(F.col("text")))
-    wrapped = F.when(F.size(F.array_intersect(wrapped, _known(templates))) >= _fewest(templates), wrapped)
+    notices = _notices(templates, CONTAINMENT, SHORT, CONTAINMENT)
+    wrapped = F.when(F.col("text").rlike(_marks(templates)), _words(F.col("text")))
+    fewest = min((notice.needed for notice in notices), default=0)
+    wrapped = F.when(F.size(F.array_intersect(wrapped, _texts(_known(notices)))) >= fewest, wrapped)
     scanned = stored(scanned.select("row", "id", "n_words", "places", lines.alias("lines"), wrapped.alias("wrapped")), "scanned")
     blocks = scanned.where("lines is not null").select(F.col("row").alias("id"), F.explode("lines").alias("line"))
-    matches = block_matches(blocks.select("id", F.array_distinct(_words(F.col("line"))).alias("words")), templates)
+    blocks = blocks.select("id", _words(F.col("line")).alias("words"))
+    matches = block_matches(blocks, templates, whole=SHORT, part=CONTAINMENT)
     runs = scanned.where("wrapped is not null").select(F.col("row").alias("id"), F.col("wrapped").alias("words"))
-    matches = matches.union(run_matches(runs, templates))
+    matches = matches.union(run_matches(runs, templates, whole=SHORT))
     label = F.when(F.startswith("template", F.lit("cc-")), F.col("template")).otherwise(F.split_part("template", F.lit("-"), F.lit(1)))
     matches = matches.groupBy("id").agg(F.collect_set(label).alias("found"), F.max("score").alias("best"))
     matches = matches.withColumnRenamed("id", "_row")
@@ -236,7 +283,7 @@ def _marks(templates: Mapping[str, str]) -> str:
     in most texts, so this picks them; it decides what is read further, not what is found.
     """
     marks = set()
-    for _, words in _template_words(templates):
-        needed = -(-round(len(words) * CONTAINMENT * 1_000_000) // 1_000_000)
-        marks |= set(sorted(words, key=lambda word: (-len(word), word))[: len(words) - needed + 1])
+    for notice in _notices(templates, CONTAINMENT, SHORT, CONTAINMENT):
+        longest = sorted(notice.words, key=lambda word: (-len(word), word))
+        marks |= set(longest[: len(longest) - notice.needed + 1])
     return "|".join(sorted(marks)) or "(?!)"

@@ -1,0 +1,55 @@
+"""Notices of other licenses and prose that has a notice's words; the base columns against a plain count."""
+
+import random
+import re
+
+from slipway.llm.license_scan import PHRASES, TEMPLATES, license_scan
+
+
+def scan(spark, texts):
+    found = license_scan(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()
+    return {row.doc_id: row for row in found}
+
+
+def test_other_licenses(spark):
+    boilerplate = TEMPLATES["apache"].replace("Apache License", "Educational Community License").replace("apache", "example")
+    no_changes = "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."
+    prose = "The report was released last May; the council then met under a new chair and the licence, or license, fee rose for all."
+    spread = "The mit of the glove was released late, " + "and so on " * 9 + "under a license."
+    texts = [
+        "Released under the BSD License.", "Licensed under the Mozilla License, Version 2.0.", prose, no_changes,
+        "Licensed under CC BY-NC-ND 4.0.", boilerplate, spread, spread.replace(" ", "\n"), no_changes.replace(" ", "\n"),
+    ]
+    assert [row.labels for _, row in sorted(scan(spark, texts).items())] == [""] * len(texts)
+
+
+def test_own_notices(spark):
+    within = "Some words come first and then it says it is " + TEMPLATES["cc-by-nc"] + " " + "More words follow here. " * 5
+    texts = [*TEMPLATES.values(), *(text.replace(" ", "\n# ") for text in TEMPLATES.values()), within]
+    found = scan(spark, texts)
+    for at, name in enumerate([*TEMPLATES, *TEMPLATES, "cc-by-nc"]):
+        assert (name if name.startswith("cc-") else name.split("-")[0]) in found[at].labels.split(","), texts[at]
+
+
+def test_base_against_a_plain_count(spark):
+    chance = random.Random(6)
+    parts = ["mit", "MIT", "license", "License", "apache", "general", "public", "gnu", "é", "licenseé", "K", "m", "it", "9", "İ"]
+    joints = [" ", "-", "\n", "  ", ", ", "_", "\x7f", "\x00", "."]
+    texts = ["".join(chance.choice(parts) + chance.choice(joints) for _ in range(chance.randint(0, 60))) for _ in range(300)]
+    texts += ["mit license " * 20_000, "", None]
+    found = scan(spark, texts)
+    for at, text in enumerate(texts):
+        lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+        places = [
+            (start, label)
+            for phrase, label in PHRASES.items()
+            for start in range(len(words))
+            if words[start : start + len(phrase.split())] == phrase.split()
+        ]
+        starts = [start for start, _ in places]
+        row = found[at]
+        assert (row.n_words, row.n_base) == (len(words), len(places)), text
+        assert (row.first_word, row.last_word) == (min(starts, default=None), max(starts, default=None))
+        assert row.base_labels == ",".join(sorted({label for _, label in places}))
+        assert set(row.base_labels.split(",")) - {""} <= set(row.labels.split(","))
