@@ -192,29 +192,41 @@ def train(texts: DataFrame, sample: int = SAMPLE) -> tuple[LabelModel, Scorer]:
     """Both models for documents ``id`` and ``text``.
 
     The label model sees the answers about all documents, as counts of patterns. The scorer is fitted on ``sample``
-    documents at most, those whose ids hash lowest; only their feature shares reach the driver.
+    different texts at most, those that hash lowest, whatever their ids; only their feature shares reach the driver. A
+    text counts once there, however many rows repeat it. Without any text there is no scorer to fit, and an error.
     """
     found = stored(patterns(texts), "patterns").toPandas()
     answers = np.array([[int(digit) for digit in row] for row in found["votes"]], np.int8).reshape(-1, len(LABELLERS))
     counts = found["n"].to_numpy(np.float64)
     order = np.lexsort(answers.T)
     labels = fit_labels(answers[order], counts[order])
-    total = counts.sum()
-    part = min(1.0, 0.9 * sample / max(total, 1))
-    picked = texts.where(F.pmod(F.xxhash64(F.coalesce("id", F.lit(-1)), F.lit("sample")), F.lit(1 << 30)) < int(part * (1 << 30)) + 1)
+    hashed = texts.select("text", F.xxhash64("text", F.lit("sample")).alias("hash"))
+    # Twice as many as are wanted, by an estimate of the number of different texts; the lowest of them stay.
+    different = max(1, hashed.agg(F.approx_count_distinct("hash")).first()[0])
+    part = min(1.0, 2 * sample / different)
+    picked = hashed.where(F.col("hash") <= F.lit(int((part * 2 - 1) * ((1 << 63) - 1)))) if part < 1 else hashed
+    lowest = stored(picked.select("hash").distinct().orderBy("hash").limit(sample), "lowest")
+    highest = lowest.agg(F.max("hash")).first()[0]
+    if highest is None:
+        raise ValueError("no text to fit the scorer on")
+    picked = hashed.where(F.col("hash") <= F.lit(highest))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            words = Words.of(batch["text"].to_pylist())
-            truth = labels.posterior(votes(measures(words)))
-            keys, shares = features(words)
-            cuts = np.searchsorted(keys, np.arange(len(truth) + 1) * BUCKETS)
-            rows = [(keys[a:b] % BUCKETS, shares[a:b].astype(np.float32)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            columns = [pa.array([row[side] for row in rows], kind) for side, kind in ((0, pa.list_(pa.int64())), (1, pa.list_(pa.float32())))]
-            yield pa.RecordBatch.from_arrays([batch["id"], *columns, pa.array(truth)], ["id", "buckets", "shares", "truth"])
-
-    spread = picked.mapInArrow(run, "id long, buckets array<long>, shares array<float>, truth double")
-    rows = stored(spread, "sample").limit(sample).toPandas().sort_values(["id", "truth"])
+        seen: set[int] = set()
+        for batch in batches:
+            hashes = batch["hash"].to_pylist()
+            new = [at for at, key in enumerate(hashes) if not (key in seen or seen.add(key))]
+            for part in slices([batch.take(pa.array(new, pa.int64()))]) if new else ():
+                words = Words.of(part["text"].to_pylist())
+                truth = labels.posterior(votes(measures(words)))
+                keys, shares = features(words)
+                cuts = np.searchsorted(keys, np.arange(len(truth) + 1) * BUCKETS)
+                rows = [(keys[a:b] % BUCKETS, shares[a:b].astype(np.float32)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                columns = [pa.array([row[side] for row in rows], kind) for side, kind in ((0, pa.list_(pa.int64())), (1, pa.list_(pa.float32())))]
+                yield pa.RecordBatch.from_arrays([part["hash"], *columns, pa.array(truth)], ["hash", "buckets", "shares", "truth"])
+
+    spread = picked.mapInArrow(run, "hash long, buckets array<long>, shares array<float>, truth double")
+    rows = stored(spread, "sample").toPandas().drop_duplicates("hash").sort_values("hash")
     return labels, fit_scorer([*zip(rows["buckets"], rows["shares"], rows["truth"], strict=True)])
 
 
@@ -227,6 +239,9 @@ def quality_scores(table: DataFrame, id_column: str = "doc_id", text_column: str
     null, an empty table gives no rows, other columns are left out.
     """
     texts = identified_texts(table, id_column, text_column)
+    schema = "id long, score double, kept boolean"
+    if texts.isEmpty():
+        return table.sparkSession.createDataFrame([], schema).withColumnRenamed("id", id_column)
     _, scorer = train(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,4 +249,4 @@ def quality_scores(table: DataFrame, id_column: str = "doc_id", text_column: str
             found = scorer.scores(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(found), pa.array(found >= LEAST_SCORE)], ["id", "score", "kept"])
 
-    return texts.mapInArrow(run, "id long, score double, kept boolean").withColumnRenamed("id", id_column)
+    return texts.mapInArrow(run, schema).withColumnRenamed("id", id_column)

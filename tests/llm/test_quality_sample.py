@@ -1,0 +1,27 @@
+"""The scorer's sample: different texts, whatever their ids."""
+
+from pyspark.sql import functions as F
+
+from slipway.llm.quality_model import quality_scores, train
+
+
+def scores(docs):
+    return {row.text: round(row.score, 9) for row in docs.join(quality_scores(docs, "n"), "n").collect()}
+
+
+def test_null_and_repeated_ids_change_nothing(spark, table):
+    docs = table("documents").select("doc_id", "text").where("text is not null")
+    ids = sorted((round(row.score, 9), row.kept) for row in quality_scores(docs).collect())
+    none = sorted((round(row.score, 9), row.kept) for row in quality_scores(docs.withColumn("doc_id", F.lit(None))).collect())
+    one = sorted((round(row.score, 9), row.kept) for row in quality_scores(docs.withColumn("doc_id", F.lit(7))).collect())
+    assert ids == none == one
+    assert len({score for score, _ in ids}) > 10
+
+
+def test_only_the_sample_reaches_the_scorer(spark, table):
+    docs = table("documents").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    _, small = train(docs, 40)
+    again = docs.union(docs.where("id % 3 = 0")).union(docs.where("id % 3 = 0")).repartition(7)
+    _, repeated = train(docs.repartition(7), 40)
+    assert (small.weights == repeated.weights).all() and small.bias == repeated.bias
+    assert quality_scores(again, "id").count() == again.count()
