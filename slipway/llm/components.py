@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slipway.llm.frames import stored
-from slipway.session import remove
+from slipway.llm.frames import dropped, stored
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -18,10 +17,14 @@ def _signature(edges: DataFrame) -> tuple[int, int]:
     return row[0], row[1]
 
 
-def _hang_on_least(near: DataFrame) -> DataFrame:
-    """Each pair (a, b) becomes (b, the least of a and all that a is paired with)."""
+def _least_near(near: DataFrame) -> DataFrame:
+    """For each ``a``, ``least``: the least of it and all that it is paired with.
+
+    It is written before anything joins it: adaptive execution splits a large partition of a join only where nothing
+    is aggregated between the shuffle and the join.
+    """
     least = near.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-    return near.join(least, "a")
+    return stored(least, "least")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -29,24 +32,28 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round hangs every node's greater neighbours, then its lesser ones, on the least node next to it; rounds needed
     grow with the logarithm of the longest chain, not with its length. Nodes with very many edges only matter for
-    minima, which are combined before the shuffle, and for a join whose large partitions adaptive execution splits.
+    minima, which are combined before the shuffle and written, and for joins with these minima, whose large partitions
+    adaptive execution splits.
     No edges: no rows. Loops and repeated edges change nothing. Null ends are left out.
     """
-    spark = edges.sparkSession
     edges = edges.where(F.col("a") != F.col("b"))
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = stored(edges, "edges")
     before = _signature(edges)
     while before[0]:
-        large = _hang_on_least(_both_ways(edges)).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        small = _hang_on_least(large.where("a > b").distinct())
+        near = _both_ways(edges)
+        first = _least_near(near)
+        large = near.join(first, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        near = stored(large.where("a > b").distinct(), "edges")
+        second = _least_near(near)
+        small = near.join(second, "a").select("a", "b", "least")
         small = small.select(F.col("b").alias("a"), F.col("least").alias("b")).union(
             small.select("a", F.col("least").alias("b"))
         )
         following = stored(small.where("a <> b").distinct(), "edges")
+        dropped(first, near, second)
         after = _signature(following)
-        for path in {file.rpartition("/")[0] for file in edges.inputFiles()}:
-            remove(spark, path)
+        dropped(edges)
         edges = following
         if after == before:
             break

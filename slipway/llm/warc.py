@@ -86,15 +86,15 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
 
     Of records whose payloads are equal and have ``least_bytes`` bytes or more, that with the largest ``page_id`` is the
     response, and the others revisit it. Payloads are compared by digest and size. Only these are grouped, with partial
-    maxima before the shuffle; then every page meets its group's maximum in one join, whose large partitions adaptive
-    execution splits, and goes straight to its archive. A null html is an empty payload. Rows without a page_id revisit
+    maxima before the shuffle, and the maxima written; then every page meets its group's in one join, whose large
+    partitions adaptive execution splits, as nothing is aggregated within it, and goes straight to its archive. A null html is an empty payload. Rows without a page_id revisit
     a group's largest; if no row of a group has one, all are responses. Rows that repeat the largest are each responses.
     """
     captures = _captures(pages)
     groups = captures.select("payload_digest", "payload_bytes", "page_id")
     sizes = groups.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("response_id"))
     sizes = sizes.withColumnsRenamed({"payload_digest": "_digest", "payload_bytes": "_bytes"})
-    joined = captures.join(sizes, F.expr("payload_digest = _digest and payload_bytes = _bytes"))
+    joined = captures.join(stored(sizes, "payloads"), F.expr("payload_digest = _digest and payload_bytes = _bytes"))
     revisits = (F.col("payload_bytes") >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("response_id"))
     refers_to = F.when(revisits, F.col("response_id"))
     joined.select(_record(refers_to).alias("value")).write.option("compression", "gzip").option(
