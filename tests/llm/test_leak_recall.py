@@ -1,0 +1,20 @@
+"""How many windows at just the least similarity have a fingerprint near enough."""
+
+import numpy as np
+
+from slipway.llm.decontaminate import RADIUS, SIMILARITY, _both_fingerprints
+
+
+def test_recall_at_the_least_similarity():
+    chance = np.random.default_rng(2)
+    for weight in (5, 10, 20, 50, 100):
+        shared = int(np.ceil(SIMILARITY * weight))
+        pairs = 20_000 // weight * 5
+        bags = chance.integers(0, 1 << 64, (pairs, weight), np.uint64)
+        others = bags.copy()
+        others[:, shared:] = chance.integers(0, 1 << 64, (pairs, weight - shared), np.uint64)
+        one, two = (np.array(_both_fingerprints(side), np.int64) for side in (bags, others))
+        away = np.bitwise_count((one ^ two).view(np.uint64))
+        assert (away.min(axis=1) <= RADIUS).mean() >= 0.9999, weight
+        # The fingerprints' distances say nothing about each other, or the second one would find little.
+        assert abs(np.corrcoef(away[:, 0], away[:, 1])[0, 1]) < 0.1, weight
