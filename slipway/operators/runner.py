@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import threading
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -41,6 +42,54 @@ def _describe(error: Exception) -> tuple[str, str]:
     return type(error).__name__, str(error)
 
 
+# Names, in an error or one of its causes, of what may be over by the next attempt.
+_PASSING = ("ExecutorLostFailure", "FetchFailed", "java.net.", "NoRouteToHost", "SocketTimeout", "ConnectException")
+
+
+def is_transient(error: Exception) -> bool:
+    """Whether another attempt may do better: lost executors and connections, not faults of the query."""
+    if isinstance(error, (ConnectionError, TimeoutError)):
+        return True
+    return isinstance(error, (Py4JJavaError, PySparkException)) and any(name in str(error) for name in _PASSING)
+
+
+class _Watch:
+    """Stops the Spark jobs of one submission when asked to, or at its time limit, until the submission ends."""
+
+    def __init__(self, context: SparkContext, tag: str, limit: float | None) -> None:
+        self.reason: str | None = None
+        self._context, self._tag, self._limit = context, tag, limit
+        self._asked, self._ended = threading.Event(), threading.Event()
+        self._thread = threading.Thread(target=self._watch, daemon=True)
+
+    def _watch(self) -> None:
+        asked = self._asked.wait(self._limit)
+        if not self._ended.is_set():
+            self.reason = "CANCELLED" if asked else "TIME_LIMIT"
+            self._asked.set()
+        # A query may be between two jobs, so asking once is not enough.
+        while not self._ended.is_set():
+            self._context.cancelJobsWithTag(self._tag)
+            self._ended.wait(0.2)
+
+    def __enter__(self) -> _Watch:
+        self._context.addJobTag(self._tag)
+        self._thread.start()
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self._ended.set()
+        self._asked.set()
+        self._thread.join()
+        self._context.removeJobTag(self._tag)
+
+    def ask(self) -> None:
+        self._asked.set()
+
+    def pause(self, seconds: float) -> None:
+        self._asked.wait(seconds)
+
+
 @dataclass
 class Runner:
     """Where submissions run and where their results go.
@@ -49,6 +98,11 @@ class Runner:
     ``session_conf`` is set in each session, for example ``{"spark.sql.ansi.enabled": "false"}``. At most
     ``max_parallel`` submissions run at a time, in the fair-scheduler pool ``pool`` if one is given. If ``versioned``,
     results with a path are put by version (``write_version``), to be read by ``read_version``.
+
+    A submission that takes longer than ``time_limit`` seconds, or that ``cancel`` names, is stopped and recorded as
+    ``CANCELLED``, for the reason ``TIME_LIMIT`` or ``CANCELLED``; a result that was there stays. One that fails by what
+    ``transient`` calls passing is tried up to ``attempts`` times, with pauses that begin at ``pause`` seconds and double.
+    If ``pool_by`` names an entry of a submission's ``environment``, its value is the submission's pool.
     """
 
     results_root: str
@@ -59,6 +113,19 @@ class Runner:
     pool: str | None = None
     status_batch: int = 200
     versioned: bool = False
+    time_limit: float | None = None
+    attempts: int = 1
+    pause: float = 0.5
+    transient: Callable[[Exception], bool] = is_transient
+    pool_by: str | None = None
+    _watches: dict[str, _Watch] = field(default_factory=dict, init=False, repr=False)
+    _unwanted: set[str] = field(default_factory=set, init=False, repr=False)
+
+    def cancel(self, submission: str) -> None:
+        """Stop a submission that this runner runs, or will run; nothing happens to one that has ended."""
+        self._unwanted.add(submission)
+        if watch := self._watches.get(submission):
+            watch.ask()
 
     @property
     def status_path(self) -> str:
@@ -175,15 +242,31 @@ class Runner:
 
     def _run_one(self, spark: SparkSession, settings: Mapping[str, str], submission: Row) -> tuple:
         started = datetime.now(timezone.utc)
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", self.pool)
+        pool = (submission.environment or {}).get(self.pool_by, self.pool) if self.pool_by else self.pool
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
         spark.sparkContext.setJobDescription(f"submission {submission.submission_id}")
         state, condition, message, path = "OK", None, None, None
         response = submission.type + ACCEPTED_SUFFIX
-        try:
-            path = self._execute(spark, settings, submission)
-        except Exception as error:
-            state, response = "FAILED", SUBMIT_FAILURE
-            condition, message = _describe(error)
+        with _Watch(spark.sparkContext, f"submission-{submission.submission_id}", self.time_limit) as watch:
+            self._watches[submission.submission_id] = watch
+            if submission.submission_id in self._unwanted:
+                watch.ask()
+            for attempt in range(1, self.attempts + 1):
+                try:
+                    path = self._execute(spark, settings, submission)
+                    message = f"after {attempt} attempts" if attempt > 1 else None
+                    break
+                except Exception as error:
+                    if watch.reason is None and attempt < self.attempts and self.transient(error):
+                        watch.pause(self.pause * 2 ** (attempt - 1))
+                        if watch.reason is None:
+                            continue
+                    state, response = "FAILED", SUBMIT_FAILURE
+                    condition, message = _describe(error)
+                    if watch.reason is not None:
+                        state, condition = "CANCELLED", watch.reason
+                    break
+            del self._watches[submission.submission_id]
         return (
             submission.submission_id, submission.source_file, submission.type, state, condition, message, response,
             path, submission.resultFormat, submission.deliveries, started, datetime.now(timezone.utc),

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slipway.functions.aggregates import AggregateRegistry, Largest, WeightedMedian
 from slipway.functions.scalars import mean_by, register_lines, register_sql_function, register_vectorized
 from slipway.operators.band_join import band_join
 from slipway.operators.decode import (
@@ -395,6 +396,96 @@ def _udtf_rows(spark, folder):
     return run_sql(session, "select doc_id, t.i, t.line from documents, lateral lines(text) t")
 
 
+def _aggregates() -> AggregateRegistry:
+    known = AggregateRegistry()
+    known.register("weighted_median", WeightedMedian())
+    known.register("largest_three", Largest(3))
+    return known
+
+
+@_query(
+    "udaf_weighted_median",
+    """with weights as (select l_returnflag, l_quantity, sum(l_linenumber) as w from lineitem group by all),
+            sums as (select l_returnflag, l_quantity, sum(w) over (partition by l_returnflag order by l_quantity) as up_to,
+                            sum(w) over (partition by l_returnflag) as whole from weights)
+       select l_returnflag, min(l_quantity)::double as v from sums where 2 * up_to >= whole group by l_returnflag""",
+)
+def _udaf_weighted_median(spark, folder):
+    lines = read_table(spark, folder, "lineitem")
+    return _aggregates().aggregate(lines, ["l_returnflag"], "weighted_median", ["l_quantity", "l_linenumber"], "v")
+
+
+@_query(
+    "udaf_largest",
+    """select l_linestatus, place, l_extendedprice::double as price
+       from (select l_linestatus, l_extendedprice,
+                    row_number() over (partition by l_linestatus order by l_extendedprice desc) - 1 as place from lineitem)
+       where place < 3""",
+)
+def _udaf_largest(spark, folder):
+    lines = read_table(spark, folder, "lineitem")
+    found = _aggregates().aggregate(lines, ["l_linestatus"], "largest_three", ["l_extendedprice"], "prices")
+    return found.select("l_linestatus", F.posexplode("prices").alias("place", "price")).withColumn("place", F.col("place").cast("long"))
+
+
+# Scripts, and control of what runs
+
+
+@_query(
+    "sql_script",
+    """with cuts as (select 1000 * power(2, i) as cut from range(0, 40) t(i)),
+            counts as (select cut, count(o_orderkey) as n from cuts left join orders on o_totalprice > cut group by cut),
+            chosen as (select min(cut) as cut from counts where n * 10 <= (select count(*) from orders))
+       select o_orderpriority, count(*) as n from orders, chosen where o_totalprice > cut group by o_orderpriority""",
+)
+def _sql_script(spark, folder):
+    return run_sql(
+        _session(spark, folder, "orders"),
+        """begin
+             declare cut double default 1000;
+             declare most bigint;
+             set most = (select count(*) from orders);
+             while (select count(*) from orders where o_totalprice > cut) * 10 > most do
+               set cut = cut * 2;
+             end while;
+             select o_orderpriority, count(*) as n from orders where o_totalprice > cut group by o_orderpriority;
+           end""",
+    )
+
+
+@_query(
+    "retried_submissions",
+    """select 'OK' as state, 'after 2 attempts' as note, r_name, count(c_custkey) as customers
+       from region join nation on n_regionkey = r_regionkey join customer on c_nationkey = n_nationkey group by r_name""",
+)
+def _retried_submissions(spark, folder):
+    jobs, tried = JobRegistry(), set()
+
+    @jobs.register("customers_of_region")
+    def customers(session, arguments, environment):
+        if arguments[0] not in tried:
+            tried.add(arguments[0])
+            raise ConnectionError("the first attempt of each does not get through")
+        return session.sql(
+            "select r_name, count(*) as customers from region join nation on n_regionkey = r_regionkey "
+            "join customer on c_nationkey = n_nationkey where r_name = ? group by r_name",
+            args=[arguments[0]],
+        )
+
+    runner = Runner(
+        work_path(spark, "results"), table_views(spark, folder, ["region", "nation", "customer"]), jobs,
+        attempts=3, pause=0.05, time_limit=3600,
+    )
+    request = F.struct(
+        F.lit("PYTHON").alias("type"), F.lit("customers_of_region").alias("code"), F.array("r_name").alias("arguments"),
+        F.lit("parquet").alias("resultFormat"), F.concat(F.lit("by_region/of="), "r_regionkey").alias("resultsPath"),
+    )
+    status = runner.run(read_table(spark, folder, "region").select(F.to_json(request).alias("value")))
+    counts = spark.read.parquet(f"{runner.results_root}/by_region")
+    region = F.regexp_extract("results_path", r"of=(\d+)$", 1).cast("int").alias("of")
+    return counts.join(status.select("state", F.col("error_message").alias("note"), region), "of").drop("of")
+
+
 # Joins and aggregates beyond SQL's own
 
 

@@ -1,0 +1,58 @@
+"""Two-phase aggregates against a plain computation, with hot, null and odd keys and more than one round of merging."""
+
+import random
+from collections import defaultdict
+from datetime import date
+
+import pytest
+
+from slipway.functions import aggregates
+from slipway.functions.aggregates import AggregateRegistry, Largest, WeightedMedian, aggregate_by
+
+SCHEMA = "k long, d date, v double, w int, `odd name` string"
+
+
+def made(count):
+    chance = random.Random(4)
+    keys = [1, 1, 1, None, 2**60 + 1, 2**60 + 2, 3]
+    return [
+        (chance.choice(keys), chance.choice([date(2024, 1, 1), None]), chance.choice([None, *map(float, range(9))]), chance.choice([None, 0, 1, 5]), "x")
+        for _ in range(count)
+    ]
+
+
+def median(pairs):
+    pairs = sorted((v, w) for v, w in pairs if v is not None and w)
+    return next((v for at, (v, _) in enumerate(pairs) if 2 * sum(w for _, w in pairs[: at + 1]) >= sum(w for _, w in pairs)), None)
+
+
+@pytest.mark.parametrize("fan_in", [2, 64])
+def test_against_a_plain_computation(spark, fan_in, monkeypatch):
+    rows = made(900)
+    groups = defaultdict(list)
+    for k, d, v, w, _ in rows:
+        groups[k, d].append((v, w))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(13)
+    found = {(r.k, r.d): r.m for r in aggregate_by(df, ["k", "d"], WeightedMedian(), ["v", "w"], "m", fan_in).collect()}
+    assert found == {key: median(pairs) for key, pairs in groups.items()}
+    top = {(r.k, r.d): r["top 2"] for r in aggregate_by(df, ["k", "d"], Largest(2), ["v"], "top 2", fan_in).collect()}
+    assert top == {key: sorted((v for v, _ in pairs if v is not None), reverse=True)[:2] for key, pairs in groups.items()}
+
+
+def test_states_are_passed_on_when_many_are_held(spark, monkeypatch):
+    monkeypatch.setattr(aggregates, "HELD_KEYS", 3)
+    rows = made(200)
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    found = {r["odd name"]: r.top for r in aggregate_by(df, ["odd name"], Largest(1), ["v"], "top").collect()}
+    assert found == {"x": [8.0]}
+
+
+def test_empty_and_unknown(spark):
+    known = AggregateRegistry()
+    known.register("largest", Largest(1))
+    empty = spark.createDataFrame([], SCHEMA)
+    assert known.aggregate(empty, ["k"], "largest", ["v"], "top").collect() == []
+    with pytest.raises(LookupError):
+        known.aggregate(empty, ["k"], "least", ["v"], "x")
+    with pytest.raises(ValueError, match="already"):
+        known.register("largest", Largest(2))
