@@ -14,7 +14,7 @@ from slipway.llm.frames import identified_texts, slices, stored
 from slipway.llm.words import Words, mix
 
 BAD, UNSURE, GOOD = 0, 1, 2
-# Documents that the scorer is fitted on at most, picked by the hash of their id.
+# Documents that the scorer is fitted on at most, those whose texts hash lowest.
 SAMPLE = 4_000
 BUCKETS = 4_096
 EM_ROUNDS = 50
@@ -143,8 +143,10 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     triples = data[:-2] | (data[1:-1] << np.uint64(8)) | (data[2:] << np.uint64(16))
     with np.errstate(over="ignore"):
         buckets = (mix(triples + np.uint64(1)) >> np.uint64(52)).astype(np.int64)
-    owners = np.repeat(np.arange(len(words.begins) - 1), np.diff(words.begins))[:-2]
-    keys = owners * BUCKETS + buckets
+    owners = np.repeat(np.arange(len(words.begins) - 1), np.diff(words.begins))
+    # A triple ends within its text, so that a text's shares do not depend on the text that follows in its batch.
+    within = owners[:-2] == owners[2:]
+    keys = owners[:-2][within] * BUCKETS + buckets[within]
     same = (words.texts[1:] == words.texts[:-1]) & (words.hashes[1:] == words.hashes[:-1])
     keys = np.concatenate([keys, np.repeat(words.texts[1:][same] * BUCKETS, 8)])
     found, counts = np.unique(keys, return_counts=True)

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from slipway.llm.quality_model import quality_scores, train
+from slipway.llm.quality_model import BUCKETS, features, quality_scores, train
+from slipway.llm.words import Words
 
 
 def scores(docs):
@@ -25,3 +26,15 @@ def test_only_the_sample_reaches_the_scorer(spark, table):
     _, repeated = train(docs.repartition(7), 40)
     assert (small.weights == repeated.weights).all() and small.bias == repeated.bias
     assert quality_scores(again, "id").count() == again.count()
+
+
+def test_shares_do_not_depend_on_neighbours():
+    texts = ["", "a", "ab", "one two two", "\n\nthree", "\u00e9t\u00e9 " * 3]
+
+    def shares(batch, at):
+        keys, values = features(Words.of(batch))
+        return {key % BUCKETS: value for key, value in zip(keys.tolist(), values.tolist(), strict=True) if key // BUCKETS == at}
+
+    alone = [shares([text], 0) for text in texts]
+    assert alone == [shares(texts, at) for at in range(len(texts))]
+    assert alone == [shares(texts[::-1], at) for at in range(len(texts))][::-1]
