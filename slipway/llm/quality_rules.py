@@ -11,12 +11,18 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]+"
 
-# What is measured of a text, as whole numbers, and how far beyond the middle half of its group a text may lie at least.
-MEASURES = {"symbols": 100, "repeats": 300, "dup_lines": 500, "word_size": 200}
-# So many times the width of the middle half may a text lie outside it.
+# What is measured of a text, as whole numbers, and the quantile, per mille, at which its tail begins. Up to 150 texts of
+# 1,000 in a group may be full of symbols before they move that bound; the other measures have long honest tails.
+MEASURES = {"symbols": 850, "repeats": 990, "dup_lines": 990, "word_size": 900}
+# A text may lie beyond its group's tail by so many times the way from the median to the tail, and by SLACK at least:
+# 2 per cent of words or lines, or a fifth of a character a word, for groups without any spread.
 REACH = 4
-# Groups of fewer texts are judged by all texts of their language, and those by all texts.
-LEAST_GROUP = 100
+SLACK = 20
+# A group's sketch is blended with its language's as if so many more of its texts were like those of the language, and
+# the language's with that of all texts. So groups of every size are judged alike, and large ones by themselves.
+PRIOR = 100
+# Blended counts are whole numbers, in millionths of a text.
+UNIT = 1_000_000
 # A sketch keeps the leading bits of a value, so that quantiles are within 1/32 of it.
 SKETCH_BITS = 6
 
@@ -99,11 +105,14 @@ def _bucket(value: Column) -> Column:
 def sketches(rows: DataFrame) -> DataFrame:
     """``lang``, ``source``, ``measure``, ``bucket`` and ``n``: per group and measure how many texts fall in a bucket.
 
-    Sketches merge by adding counts, whatever their order, so parts are added up before the shuffle, a language's sketch
-    is the sum of its sources', and equal input gives equal thresholds. Their size depends on the number of groups, not
-    of texts.
+    Texts that fail the fixed rules are left out, as they are judged already. Sketches merge by adding counts, whatever
+    their order, so parts are added up before the shuffle, a language's sketch is the sum of its sources', and equal
+    input gives equal thresholds. Their size depends on the number of groups, not of texts.
     """
-    entries = [F.struct(F.lit(name).alias("measure"), value.cast("long").alias("value")) for name, value in _measures().items()]
+    entries = [
+        F.struct(F.lit(name).alias("measure"), F.when(~_failed(), value).cast("long").alias("value"))
+        for name, value in _measures().items()
+    ]
     return (
         rows.select("lang", "source", F.inline(F.array(*entries)))
         .where("value is not null")
@@ -112,47 +121,58 @@ def sketches(rows: DataFrame) -> DataFrame:
     )
 
 
-def _quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """``size``, ``q1`` and ``q3`` for each key: the least bucket that a quarter, or three quarters, lie at or below.
+def _shares(sketch: DataFrame, keys: list[str], wider: DataFrame | None) -> DataFrame:
+    """``mass`` (texts) and ``share`` (part of the key's texts) of each bucket, both in millionths, for each of ``keys``.
 
-    A window over a key holds its buckets, of which there are some hundreds at most.
+    The shares of ``wider``, which has all but the last of ``keys``, count as ``PRIOR`` texts of each key.
     """
-    merged = sketch.groupBy(*keys, "bucket").agg(F.sum("n").alias("n"))
-    by = ", ".join(keys)
-    counted = merged.selectExpr(
-        "*", f"sum(n) over (partition by {by} order by bucket) as upto", f"sum(n) over (partition by {by}) as size"
-    )
-    return counted.groupBy(*keys).agg(
-        F.first("size").alias("size"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("size"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("size") * 3, F.col("bucket"))).alias("q3"),
-    )
+    merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
+    parts = merged.select(*keys, "measure", "bucket", "n", (F.col("n") * UNIT).alias("mass"))
+    if wider is not None:
+        each = merged.select(*keys, "measure").distinct().alias("e")
+        same = F.expr(" and ".join(f"e.{key} <=> w.{key}" for key in (*keys[:-1], "measure")))
+        likened = each.join(wider.alias("w"), same).select(
+            *(f"e.{key}" for key in keys), "e.measure", "w.bucket", F.lit(0).cast("long").alias("n"), (F.col("w.share") * PRIOR).alias("mass")
+        )
+        parts = parts.union(likened).groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"))
+    added = 0 if wider is None else PRIOR
+    by = ", ".join((*keys, "measure"))
+    return parts.selectExpr(*keys, "measure", "bucket", "mass", f"mass div (sum(n) over (partition by {by}) + {added}) as share")
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """One row per ``lang`` and ``source`` with ``low_<measure>`` and ``high_<measure>``.
 
-    Each bound lies ``REACH`` times the width of the middle half beyond it, and a fixed least distance at least, so that
-    a group of equal texts does not reject every other. The middle half is that of the group, or for small groups of
-    its language, or of all texts.
+    The high bound is the tail quantile of the group's blended sketch, and ``REACH`` times the way from the median to
+    it and ``SLACK`` beyond; the low bound is its mirror. A quantile is the least bucket that so many texts lie at or
+    below. Windows hold the buckets of one key, of which there are some hundreds at most.
     """
     sketch = stored(sketch, "sketch")
-    own, of_lang, of_all = (_quartiles(sketch, keys) for keys in (["lang", "source", "measure"], ["lang", "measure"], ["measure"]))
-    joined = (
-        own.alias("o")
-        .join(of_lang.alias("l"), F.expr("o.lang <=> l.lang and o.measure = l.measure"))
-        .join(of_all.alias("a"), F.expr("o.measure = a.measure"))
+    of_all = _shares(sketch, [], None)
+    of_lang = _shares(sketch, ["lang"], of_all)
+    own = _shares(sketch, ["lang", "source"], of_lang)
+    counted = own.selectExpr(
+        "*",
+        "sum(mass) over (partition by lang, source, measure order by bucket) as upto",
+        "sum(mass) over (partition by lang, source, measure) as size",
     )
 
-    def fit(name: str) -> Column:
-        return F.when(F.col("o.size") >= LEAST_GROUP, F.col(f"o.{name}")).when(
-            F.col("l.size") >= LEAST_GROUP, F.col(f"l.{name}")
-        ).otherwise(F.col(f"a.{name}"))
+    def quantile(tail: Column) -> Column:
+        # size * tail / 1000, rounded up, without passing 64 bits
+        needed = F.expr("size div 1000") * tail + F.floor((F.expr("size % 1000") * tail + 999) / 1000)
+        return F.min(F.when(F.col("upto") >= needed, F.col("bucket")))
 
-    picked = joined.select("o.lang", "o.source", "o.measure", fit("q1").alias("q1"), fit("q3").alias("q3"))
-    distance = F.greatest(REACH * (F.col("q3") - F.col("q1")), F.element_at(F.create_map(*(F.lit(x) for item in MEASURES.items() for x in item)), F.col("measure")).cast("long"))
-    picked = picked.withColumns({"low": F.col("q1") - distance, "high": F.col("q3") + distance})
-    return picked.groupBy("lang", "source").agg(
+    tail = F.element_at(F.create_map(*(F.lit(x) for item in MEASURES.items() for x in item)), F.col("measure")).cast("long")
+    found = counted.withColumn("tail", tail).groupBy("lang", "source", "measure").agg(
+        quantile(F.col("tail")).alias("top"), quantile(F.lit(500)).alias("middle"), quantile(1000 - F.col("tail")).alias("bottom")
+    )
+    found = found.withColumns(
+        {
+            "high": F.col("top") + REACH * (F.col("top") - F.col("middle")) + SLACK,
+            "low": F.col("bottom") - REACH * (F.col("middle") - F.col("bottom")) - SLACK,
+        }
+    )
+    return found.groupBy("lang", "source").agg(
         *(F.max(F.when(F.col("measure") == name, F.col(side))).alias(f"{side}_{name}") for name in MEASURES for side in ("low", "high"))
     )
 
@@ -227,27 +247,43 @@ counts as (
   from windows left join covered using (r)
 ),
 valued as (
-  select *, case when n_words > 0 then [
-    {{'m': 'symbols', 'v': n_symbols * 1000 // n_words, 'd': {MEASURES["symbols"]}}}, {{'m': 'repeats', 'v': n_repeat_words * 1000 // n_words, 'd': {MEASURES["repeats"]}}},
-    {{'m': 'dup_lines', 'v': n_dup_lines * 1000 // n_lines, 'd': {MEASURES["dup_lines"]}}}, {{'m': 'word_size', 'v': word_chars * 100 // n_words, 'd': {MEASURES["word_size"]}}}
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as failed, case when n_words > 0 then [
+    {{'m': 'symbols', 'v': n_symbols * 1000 // n_words, 't': {MEASURES["symbols"]}}}, {{'m': 'repeats', 'v': n_repeat_words * 1000 // n_words, 't': {MEASURES["repeats"]}}},
+    {{'m': 'dup_lines', 'v': n_dup_lines * 1000 // n_lines, 't': {MEASURES["dup_lines"]}}}, {{'m': 'word_size', 'v': word_chars * 100 // n_words, 't': {MEASURES["word_size"]}}}
   ] else [] end as vs, row_number() over () as k
   from counts
 ),
-long as (select k, lang, source, unnest(vs, recursive := true) from valued),
-buckets as (select *, (v >> greatest(length(bin(v)) - {SKETCH_BITS}, 0)) << greatest(length(bin(v)) - {SKETCH_BITS}, 0) as b from long),
+long as (select k, lang, source, failed, unnest(vs, recursive := true) from valued),
+buckets as (
+  select lang, source, m, t, (v >> greatest(length(bin(v)) - {SKETCH_BITS}, 0)) << greatest(length(bin(v)) - {SKETCH_BITS}, 0) as b, count(*) as n
+  from long where not failed group by all
+),
+of_all as (select m, b, sum(n) * {UNIT} // sum(sum(n)) over (partition by m) as share from buckets group by m, b),
+of_lang as (
+  select lang, m, b, (sum(n) * {UNIT} + sum(p)) // (sum(sum(n)) over (partition by lang, m) + {PRIOR}) as share from (
+    select lang, m, b, n, 0 as p from buckets
+    union all select lang, m, b, 0, share * {PRIOR} from (select distinct lang, m from buckets) join of_all using (m)
+  ) group by lang, m, b
+),
 own as (
-  select lang, source, m, d, count(*) as size, quantile_disc(b, 0.25) as q1, quantile_disc(b, 0.75) as q3 from buckets group by all
+  select lang, source, m, b, sum(n) * {UNIT} + sum(p) as mass from (
+    select lang, source, m, b, n, 0 as p from buckets
+    union all select e.lang, source, e.m, b, 0, share * {PRIOR} from (select distinct lang, source, m from buckets) e
+      join of_lang l on e.lang is not distinct from l.lang and e.m = l.m
+  ) group by all
+),
+summed as (
+  select *, sum(mass) over (partition by lang, source, m order by b) as upto, sum(mass) over (partition by lang, source, m) as size
+  from own join (select distinct m, t from buckets) using (m)
 ),
-of_lang as (select lang, m, count(*) as size, quantile_disc(b, 0.25) as q1, quantile_disc(b, 0.75) as q3 from buckets group by all),
-of_all as (select m, quantile_disc(b, 0.25) as q1, quantile_disc(b, 0.75) as q3 from buckets group by all),
-picked as (
-  select o.lang, o.source, o.m, o.d, case when o.size >= {LEAST_GROUP} then o.q1 when l.size >= {LEAST_GROUP} then l.q1 else a.q1 end as q1,
-    case when o.size >= {LEAST_GROUP} then o.q3 when l.size >= {LEAST_GROUP} then l.q3 else a.q3 end as q3
-  from own o join of_lang l on o.lang is not distinct from l.lang and o.m = l.m join of_all a on o.m = a.m
+found as (
+  select lang, source, m, min(b) filter (upto * 1000 >= size * t) as top, min(b) filter (upto * 1000 >= size * 500) as middle,
+    min(b) filter (upto * 1000 >= size * (1000 - t)) as bottom
+  from summed group by all
 ),
 outside as (
-  select distinct k from long join picked p on long.lang is not distinct from p.lang and long.source is not distinct from p.source and long.m = p.m
-  where v < q1 - greatest({REACH} * (q3 - q1), p.d) or v > q3 + greatest({REACH} * (q3 - q1), p.d)
+  select distinct k from long join found f on long.lang is not distinct from f.lang and long.source is not distinct from f.source and long.m = f.m
+  where v > top + {REACH} * (top - middle) + {SLACK} or v < bottom - {REACH} * (middle - bottom) - {SLACK}
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
