@@ -15,6 +15,8 @@ DAMPING = 0.85
 TOLERANCE = 1e-9
 # Written tables take the place of a growing plan each so many rounds; then it is seen whether scores still change.
 ROUNDS_PER_TABLE = 6
+# Links of one host that a round takes as one: a host with more is split, so that none fills a task.
+LINKS_PER_SLOT = 100_000
 # The SQL for another engine has no loop that ends by itself. It follows links over six hops, in lower case only.
 ORACLE_ROUNDS = 6
 # A host is blocked if its distrust is more than so many times its trust.
@@ -61,41 +63,45 @@ def _parts(url: Column) -> tuple[Column, Column]:
 
 
 def _rule(rules: tuple[Rule, ...], field: str) -> Column:
-    """``field`` of the longest rule that fits ``host`` and ``path``, else null."""
+    """``field`` of the longest rule that fits ``host`` and ``path``, of equally long ones the first, else null."""
     fitting = F.lit(None).cast("string")
-    for rule in sorted(rules, key=lambda rule: len(rule.text)):
+    for rule in sorted(reversed(rules), key=lambda rule: len(rule.text)):
         host = (F.col("host") == rule.host) | F.endswith("host", F.lit("." + rule.host))
         fitting = F.when(host & F.startswith("path", F.lit(rule.path)), F.lit(getattr(rule, field))).otherwise(fitting)
     return fitting
 
 
-def _spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """``host`` and ``score``: personalised PageRank of ``edges`` (``src``, ``dst``, ``share``) from ``seeds``
-    (``host``, ``seed``).
+def _spread(seeds: DataFrame, edges: DataFrame, totals: DataFrame) -> DataFrame:
+    """``host`` and ``score``: personalised PageRank of ``edges`` (see `_shares`) from ``seeds`` (``host``, ``seed``).
 
-    A round is one join and one sum, which is combined before its shuffle. Scores begin at the seeds' own and only
-    grow, by what came one link further; a host that a round reaches for the first time has changed by all of its
-    score, so rounds go on at least until no more hosts are reached. Rank that reaches a host without links ends there.
-    Hosts that nothing reaches have no row.
+    A round is one join and one sum, which is combined before its shuffle. A host's score meets its links in as many
+    slots as these call for. Scores begin at the seeds' own and only grow, by what came one link further; a host that a
+    round reaches for the first time has changed by all of its score, so rounds go on at least until no more hosts are
+    reached. Rank that reaches a host without links ends there. Hosts that nothing reaches have no row.
     """
     spark = seeds.sparkSession
-    edges = stored(edges, "shares")
-    started = stored(seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("score")), "started")
+    begun = seeds.join(totals.select(F.col("by").alias("host"), "slots"), "host", "left")
+    started = stored(
+        begun.select("host", (F.col("seed") * (1 - DAMPING)).alias("score"), F.coalesce("slots", F.lit(1)).alias("slots")), "started"
+    )
     held, moving = started, True
     while moving:
-        ranks = held.select("host", "score")
+        ranks = held.select("host", "score", "slots")
         for turn in range(ROUNDS_PER_TABLE):
             before = ranks
-            sent = edges.join(ranks, edges["src"] == ranks["host"]).select(
-                F.col("dst").alias("host"), (F.col("share") * F.col("score") * DAMPING).alias("score")
+            dealt = ranks.select("host", "score", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"))
+            sent = edges.join(dealt, (edges["src"] == dealt["host"]) & (edges["slot"] == dealt["slot"])).select(
+                F.col("dst").alias("host"), (F.col("share") * F.col("score") * DAMPING).alias("score"), F.col("dst_slots").alias("slots")
             )
             parts = sent.union(started)
             if turn < ROUNDS_PER_TABLE - 1:
-                ranks = parts.groupBy("host").agg(F.sum("score").alias("score"))
+                ranks = parts.groupBy("host").agg(F.sum("score").alias("score"), F.max("slots").alias("slots"))
             else:
-                old = before.select("host", F.lit(0.0).alias("score"), F.col("score").alias("old"))
-                parts = parts.select("host", "score", F.lit(0.0).alias("old")).union(old)
-                ranks = parts.groupBy("host").agg(F.sum("score").alias("score"), F.sum("old").alias("old"))
+                old = before.select("host", F.lit(0.0).alias("score"), "slots", F.col("score").alias("old"))
+                parts = parts.select("host", "score", "slots", F.lit(0.0).alias("old")).union(old)
+                ranks = parts.groupBy("host").agg(
+                    F.sum("score").alias("score"), F.max("slots").alias("slots"), F.sum("old").alias("old")
+                )
         ranks = stored(ranks, "ranks")
         if held is not started:
             for path in {file.rpartition("/")[0] for file in held.inputFiles()}:
@@ -105,10 +111,22 @@ def _spread(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     return held.select("host", "score")
 
 
-def _shares(links: DataFrame, by: str, to: str) -> DataFrame:
-    """Edges from ``by`` to ``to`` with the share of ``by``'s links that each one is."""
-    total = links.groupBy(by).agg(F.sum("n").alias("total"))
-    return links.join(total, by).select(F.col(by).alias("src"), F.col(to).alias("dst"), (F.col("n") / F.col("total")).alias("share"))
+def _shares(links: DataFrame, by: str, to: str) -> tuple[DataFrame, DataFrame]:
+    """Edges ``src``, ``dst``, ``share`` (of ``src``'s links), ``slot`` and ``dst_slots``, and ``slots`` of each host.
+
+    The sums are written before links meet them, so adaptive execution splits the partition of a host with very many.
+    """
+    totals = links.groupBy(F.col(by).alias("by")).agg(
+        F.sum("n").alias("total"), F.ceil(F.count("*") / LINKS_PER_SLOT).cast("int").alias("slots")
+    )
+    totals = stored(totals, "totals")
+    ends = totals.select(F.col("by").alias("to"), F.col("slots").alias("to_slots"))
+    edges = links.join(totals, links[by] == totals["by"]).select(
+        F.col(by).alias("src"), F.col(to).alias("dst"), (F.col("n") / F.col("total")).alias("share"),
+        F.pmod(F.xxhash64(to), F.col("slots")).cast("int").alias("slot"),
+    )
+    edges = edges.join(ends, edges["dst"] == ends["to"], "left")
+    return stored(edges.select("src", "dst", "share", "slot", F.coalesce("to_slots", F.lit(1)).alias("dst_slots")), "shares"), totals
 
 
 def host_scores(judged: DataFrame, links: DataFrame) -> DataFrame:
@@ -128,8 +146,8 @@ def host_scores(judged: DataFrame, links: DataFrame) -> DataFrame:
     def start(count: str) -> DataFrame:
         return seeds.where(f"{count} > 0").select("host", (F.col(count) / F.col(f"all_{count}")).alias("seed"))
 
-    trust = _spread(start("allowed"), _shares(links, "src", "dst")).withColumnRenamed("score", "trust")
-    distrust = _spread(start("blocked"), _shares(links, "dst", "src")).withColumnRenamed("score", "distrust")
+    trust = _spread(start("allowed"), *_shares(links, "src", "dst")).withColumnRenamed("score", "trust")
+    distrust = _spread(start("blocked"), *_shares(links, "dst", "src")).withColumnRenamed("score", "distrust")
     return trust.join(distrust, "host", "full").select(
         "host", F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust")
     )
@@ -139,7 +157,7 @@ def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
     """One row per row of ``pages`` (``page_id``, ``url``, ``html``): ``page_id``, ``host``, ``path``, ``rule`` and
     ``verdict`` (allow or block).
 
-    The longest rule that fits decides. Other pages are judged by their host: blocked if its distrust is more than
+    The longest rule that fits decides, of equally long ones the first. Other pages are judged by their host: blocked if its distrust is more than
     ``DISTRUST_RATIO`` times its trust. Hosts that no link ties to a rule are allowed, and so are pages without a host.
     The html is read once for links to other hosts, counted per pair of hosts before the shuffle; pages meet only their
     host's verdict again, and only blocked hosts are listed for that. A null url has no host, a null html no links.

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from slipway.llm import components
+from slipway.llm import components, url_trust
 from slipway.llm.components import connected_components
 
 SETTINGS = {
@@ -44,3 +44,21 @@ def test_components_of_a_hub(split):
     assert found.where("label = 0").count() == 40_001
     assert found.count() == 40_001 + 80_000
     assert found.where("node >= 100000 and label <> node % 100000 + 100000").count() == 0
+
+
+def test_a_host_with_very_many_links_is_split(split):
+    links = hub(split).selectExpr("concat('h', a) as src", "concat('h', b) as dst", "1L as n")
+    edges, totals = url_trust._shares(links, "src", "dst")
+    assert totals.where("slots < 1").isEmpty() and edges.count() == 80_000
+    joined = edges.join(totals, edges["src"] == totals["by"]).selectExpr("sum(total)")
+    joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_slots_of_a_hub(split, monkeypatch):
+    monkeypatch.setattr(url_trust, "LINKS_PER_SLOT", 1000)
+    links = hub(split).selectExpr("concat('h', a) as src", "concat('h', b) as dst", "1L as n")
+    edges, totals = url_trust._shares(links, "src", "dst")
+    assert totals.where("by = 'h0'").first().slots == 40
+    most = edges.groupBy("src", "slot").count().agg(F.max("count")).first()[0]
+    assert most < 1300

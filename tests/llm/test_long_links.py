@@ -5,7 +5,8 @@ import random
 import numpy as np
 import pytest
 
-from slipway.llm.url_trust import DAMPING, host_scores, url_verdicts
+from slipway.llm import url_trust
+from slipway.llm.url_trust import DAMPING, Rule, host_scores, url_verdicts
 
 
 def test_a_chain_of_hosts(spark):
@@ -18,7 +19,10 @@ def test_a_chain_of_hosts(spark):
     assert set(verdicts.values()) == {"block"} and len(verdicts) == 31
 
 
-def test_scores_are_the_limit(spark):
+@pytest.mark.parametrize("per_slot", [100_000, 2])
+def test_scores_are_the_limit(spark, monkeypatch, per_slot):
+    """Also where hosts with more than two links are split."""
+    monkeypatch.setattr(url_trust, "LINKS_PER_SLOT", per_slot)
     chance = random.Random(4)
     count = 30
     links = sorted({(a, b) for a, b in ((chance.randrange(count), chance.randrange(count)) for _ in range(70)) if a != b})
@@ -38,3 +42,11 @@ def test_scores_are_the_limit(spark):
         exact = np.linalg.solve(np.eye(count) - DAMPING * shares.T, (1 - DAMPING) * seeds[at])
         got = [found.get(f"h{n}", (0.0, 0.0))[at] for n in range(count)]
         assert got == pytest.approx(exact, rel=1e-6, abs=1e-15)
+
+
+def test_of_equally_long_rules_the_first_counts(spark):
+    rules = (Rule("a.org", "/", "block"), Rule("org", "/a/", "allow"))
+    pages = spark.createDataFrame([(1, "http://a.org/a/x", ""), (2, "http://b.org/a/x", "")], "page_id long, url string, html string")
+    for order, expected in ((rules, "block"), (rules[::-1], "allow")):
+        found = {row.page_id: row.verdict for row in url_verdicts(pages, order).collect()}
+        assert found == {1: expected, 2: "allow"}
