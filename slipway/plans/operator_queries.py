@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from slipway.functions.aggregates import AggregateRegistry, Largest, WeightedMedian
 from slipway.functions.scalars import mean_by, register_lines, register_sql_function, register_vectorized
+from slipway.functions.tables import in_parts, register_first_rows
 from slipway.operators.band_join import band_join
 from slipway.operators.decode import (
     base64_text, decode_submissions, key_value_map, notebook_requests, route_submissions, valid_submissions,
@@ -396,6 +397,20 @@ def _udtf_rows(spark, folder):
     return run_sql(session, "select doc_id, t.i, t.line from documents, lateral lines(text) t")
 
 
+@_query(
+    "udtf_table_argument",
+    """select l_suppkey, l_orderkey, l_linenumber, l_extendedprice::double as price from lineitem
+       qualify row_number() over (partition by l_suppkey order by l_extendedprice desc, l_orderkey, l_linenumber) <= 5""",
+)
+def _udtf_table_argument(spark, folder):
+    session = open_session(spark)
+    register_first_rows(session)
+    lines = read_table(session, folder, "lineitem").select(
+        "l_suppkey", "l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("double").alias("price")
+    )
+    return in_parts(lines, "first_rows", ["l_suppkey"], ["price desc", "l_orderkey", "l_linenumber"], "5")
+
+
 def _aggregates() -> AggregateRegistry:
     known = AggregateRegistry()
     known.register("weighted_median", WeightedMedian())
