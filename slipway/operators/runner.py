@@ -23,10 +23,12 @@ from slipway.operators.sinks import resolve_path, write_result
 from slipway.operators.status import (
     ACCEPTED_SUFFIX, COMPACT_AFTER, PARSE_FAILURE, SUBMIT_FAILURE, StatusStore, accepted, append_status_if_any, append_status_rows, status_table,
 )
-from slipway.operators.versions import write_version
+from slipway.operators.versions import read_version, write_version
 from slipway.session import Setup, open_session, remove, settings_of, size_shuffles, work_path
 
 
+# Lines per file of an inline answer: what a page of an answer reads is some of these files, whole.
+ANSWER_BLOCK = 100_000
 # Stored bytes per partition of the staged submissions: what the driver holds of them at a time.
 _STAGED_BYTES = 16 << 20
 
@@ -53,6 +55,37 @@ def is_transient(error: Exception) -> bool:
     return isinstance(error, (Py4JJavaError, PySparkException)) and any(name in str(error) for name in _PASSING)
 
 
+# Files carry the number of their partition, then that of their block; by name alone, 1000 would come before 999.
+_IN_ORDER = ("_part", "_piece", "_block", "_line")
+
+
+def _answer_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """``value`` of each line below ``paths``, and where it stands: ``_file``, ``_part``, ``_piece``, ``_block``, ``_line``."""
+    name = F.col("_metadata.file_name")
+    return spark.read.option("lineSep", "\n").text([*paths]).select(
+        "value", name.alias("_file"),
+        F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long").alias("_part"),
+        F.regexp_extract(name, r"-c(\d+)\.", 1).try_cast("long").alias("_piece"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"),
+    )
+
+
+def _answer_index(spark: SparkSession, path: str) -> DataFrame:
+    """``_file``, its number of ``lines``, and where it ``begins`` in the answer: kept below ``path``, made if it is not there.
+
+    Two readers may both make it, each as a version of its own with the same rows. The sum over files in their order is
+    one task's, a row for each ``ANSWER_BLOCK`` lines.
+    """
+    place = f"{path}/_index"
+    try:
+        return read_version(spark, place)
+    except LookupError:
+        counts = _answer_lines(spark, path).groupBy("_file", "_part", "_piece").agg(F.count("*").alias("lines"))
+        sums = counts.selectExpr("_file", "lines", "sum(lines) over (order by _part, _piece, _file) - lines as begins")
+        write_version(sums, place, "parquet")
+        return read_version(spark, place)
+
+
 class _Watch:
     """Stops the Spark jobs of one submission when asked to, or at its time limit, until the submission ends."""
 
@@ -141,13 +174,30 @@ class Runner:
     def answer_rows(self, spark: SparkSession, submission: str) -> DataFrame:
         """The rendered rows, ``value``, of a result without a path, in the result's own order.
 
-        Files are numbered in the order of the result's partitions, and lines stand in theirs.
+        Files are numbered in the order of the result's partitions and blocks, and lines stand in theirs.
         """
-        lines = spark.read.option("lineSep", "\n").text(self.inline_path(submission)).select(
-            "value", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-            F.monotonically_increasing_id().alias("_line"),
-        )
-        return lines.orderBy("_file", "_block", "_line").select("value")
+        return _answer_lines(spark, self.inline_path(submission)).orderBy(*_IN_ORDER).select("value")
+
+    def answer_page(self, spark: SparkSession, submission: str, first: int, count: int) -> DataFrame:
+        """``position`` (from 0) and ``value`` of the rows ``first`` to ``first + count - 1`` of `answer_rows`.
+
+        Only the files that hold them are read; they have ``ANSWER_BLOCK`` lines at most. The lines of each file are
+        counted when the first page is asked for, and kept beside them. Rows beyond the last are left out.
+        """
+        if first < 0 or count < 0:
+            raise ValueError("a page begins at 0 or later and has no fewer than 0 rows")
+        path = self.inline_path(submission)
+        index = _answer_index(spark, path)
+        ends = F.col("begins") + F.col("lines")
+        wanted = index.where((F.col("begins") < first + count) & (ends > first)).collect() if count else []
+        if not wanted:
+            return spark.createDataFrame([], "position long, value string")
+        begins = spark.createDataFrame([(row["_file"], row["begins"]) for row in wanted], "_file string, begins long")
+        lines = _answer_lines(spark, *(f"{path}/{row['_file']}" for row in wanted)).join(F.broadcast(begins), "_file")
+        # A window holds one file's lines.
+        place = F.expr("row_number() over (partition by _file order by _block, _line)")
+        paged = lines.select((F.col("begins") + place - 1).alias("position"), "value")
+        return paged.where(F.col("position").between(first, first + count - 1)).orderBy("position")
 
     def answer(self, spark: SparkSession, submission: str) -> Iterator[str]:
         """The body of the answer to a submission whose result has no path, in pieces; `LookupError` if there is none."""
@@ -286,7 +336,7 @@ class Runner:
             return None  # the work is done, as that of an insert, and there is nothing to store
         size_shuffles(result)
         if submission.inline:
-            write_result(render(result, submission.resultFormat), path, "text")
+            write_result(render(result, submission.resultFormat), path, "text", {"maxRecordsPerFile": str(ANSWER_BLOCK)})
         elif self.versioned:
             write_version(result, path, submission.resultFormat)
         else:
