@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from slipway import Runner, read_result
+from slipway.functions import tables
 from slipway.functions.tables import in_parts, register_first_rows
 
 
@@ -69,6 +70,34 @@ def test_a_frequent_key_is_dealt_to_many_tasks(session, tmp_path):
     assert sorted(map(tuple, in_parts(df, "first_rows", ["k"], ["v desc", "name"], "3").collect()), key=repr) == expected(df, 3)
 
 
+def test_only_frequent_keys_are_dealt(session, monkeypatch):
+    """A key with fewer rows than a partition is one part, so its rows meet in the first call."""
+    monkeypatch.setattr(tables, "partitions_for", lambda df: 10)
+    few = session.range(3000).selectExpr("if(id % 500 = 0, null, int(id % 500)) as k")
+    dealt = tables._dealt(few.union(session.range(1500).selectExpr("if(id < 1000, -1, null) as k")), ["k"])
+    parts = {row.k: row.n for row in dealt.groupBy("k").agg(F.count_distinct("_part").alias("n")).collect()}
+    assert {n for k, n in parts.items() if k is not None and k >= 0} == {1}
+    assert parts[-1] == 3 and parts[None] == 2
+
+
+def test_parts_are_called_over_batches(session):
+    plan = in_parts(rows(session), "first_rows", ["k"], ["v desc", "name"], "3")._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("ArrowEvalPythonUDTF") == 2
+
+
+def test_columns_of_many_types_over_batches(session):
+    session.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    df = session.range(20000).selectExpr(
+        "concat('k', id % 3) as k", "id", "if(id % 2 = 0, null, cast(id as decimal(20, 3))) as d", "timestamp_seconds(id) as t",
+        "date_add(date '2024-01-01', int(id % 99)) as day", "array(id, null) as list", "named_struct('a', id, 'b', 'x') as s",
+        "map('m', id) as m", "to_binary(cast(id as string), 'utf-8') as bytes", "timestamp_ntz '2024-01-02 03:04:05.000001' as z",
+    )
+    found = in_parts(df, "first_rows", ["k", "id % 2"], ["id"], "3000")
+    assert [f.dataType for f in found.schema] == [f.dataType for f in df.schema]
+    ranked = df.withColumn("r", F.expr("row_number() over (partition by k, id % 2 order by id)")).where("r <= 3000").drop("r")
+    assert sorted(found.collect(), key=lambda row: row.id) == sorted(ranked.collect(), key=lambda row: row.id)
+
+
 def test_in_a_submission(spark, tmp_path):
     def setup(session):
         register_first_rows(session)
