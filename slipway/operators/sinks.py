@@ -33,8 +33,15 @@ _OPTIONS: dict[str | None, dict[str, str]] = {
 }
 
 
+# A row may span lines in these formats, so a task reads a file of them whole. Small files share a task.
+WHOLE_FILE_FORMATS = ("csv", "xml")
+ROWS_PER_FILE = 20_000
+
+
 def write_options(result_format: str | None, columns: int) -> dict[str, str]:
     options = dict(_OPTIONS.get(result_format, {}))
+    if result_format in WHOLE_FILE_FORMATS:
+        options["maxRecordsPerFile"] = str(ROWS_PER_FILE)
     if result_format == "csv" and columns == 1:
         # A null is an empty field, and a line that is empty is skipped. So a lone column marks its nulls, and text
         # equal to the mark is the one thing that does not come back.
@@ -102,7 +109,8 @@ def write_result(
     """Overwrite ``path`` with ``df`` in any format Spark can write; without a name, in the session's default format.
 
     The rows go to a new folder beside ``path`` first and take its place by rename once they are complete. So a run
-    that fails leaves the old result untouched, and a query may overwrite a path it reads. On file systems whose
+    that fails leaves the old result untouched, and a query may overwrite a path it reads. Files of formats that are read
+    file by file hold `ROWS_PER_FILE` rows at most, unless ``options`` say otherwise. On file systems whose
     rename is a copy, such as object stores, the swap takes time and is not atomic; a swap cut off half-way is undone
     by the next write or read.
     """

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import TABLES
 from slipway.operators.sinks import (
-    CONNECTION_DDL, literal_rows, publish_connections, publish_global_view, read_result, resolve_path, write_result,
+    CONNECTION_DDL, ROWS_PER_FILE, literal_rows, publish_connections, publish_global_view, read_result, resolve_path,
+    write_result,
 )
 from slipway.session import open_session
 
@@ -58,6 +59,18 @@ def test_missing_values(spark, tmp_path, result_format):
     assert_same(df, read_result(spark, str(tmp_path / "out"), result_format, "i int, d double, s string"))
 
 
+@pytest.mark.parametrize("result_format", ["csv", "xml"])
+def test_files_that_a_task_reads_whole_are_bounded(spark, tmp_path, result_format):
+    """One task writes all rows; as many tasks as there are files may read them."""
+    df = spark.range(2 * ROWS_PER_FILE + 1).selectExpr("id", "concat('a', chr(10), id) as s").coalesce(1)
+    write_result(df, str(tmp_path / "out"), result_format)
+    back = read_result(spark, str(tmp_path / "out"), result_format, df.schema)
+    assert [row.n for row in back.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).orderBy("n").collect()] == [
+        1, ROWS_PER_FILE, ROWS_PER_FILE,
+    ]
+    assert_same(df, back)
+
+
 @pytest.mark.parametrize("result_format", ["csv", "json", "orc", "parquet"])
 def test_microseconds(spark, tmp_path, result_format):
     df = spark.sql(
